@@ -1,11 +1,15 @@
-"""The registry of queries and their SQL twins."""
+"""All queries of the library and their SQL twins."""
 
 from __future__ import annotations
 
+from corpusloom.plans import base, q_dedup, q_decisions, q_intervals, q_planning, q_release, q_reports, q_signal, q_sources, q_text
+
+_MODULES = (q_decisions, q_reports, q_intervals, q_dedup, q_planning, q_release, q_sources, q_text, q_signal)
+
 
 def queries() -> dict:
-    return {}
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(base.ORACLES)
