@@ -12,10 +12,10 @@ Because the softmax is linear in the average, a trained model scores with one nu
 scoring is a pass of array operations over the code points of whole texts, whatever their
 vocabulary.
 
-The model is fitted on a bounded sample of labelled rows (max_positive, max_negative, the rows of
-least hash). Defined results: null and empty texts score the smallest score seen in windows without
-n-grams, 0 evidence (the bias). Without any labelled row of both kinds every score is 0. Repeated
-rows give repeated results.
+The model is fitted on a bounded sample of labelled rows (max_positive, max_negative, max_chars: the
+rows of least hash, whole texts). Defined results: a text without words scores 0; without labelled
+rows of both kinds every score is 0; a null id is not held out and has no label; repeated rows give
+repeated results; an empty table gives no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -105,7 +105,9 @@ class Model:
         if not self.trained:
             return 0.0
         z = self.window_logits(text or "")
-        z = float(z.max()) if len(z) else self.bias
+        if not len(z):
+            return 0.0
+        z = float(z.max())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -189,15 +191,35 @@ def fit(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.5,
     return Model((emb @ (soft[1] - soft[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def sample(df: DataFrame, text_col: str, label_col: str, max_positive: int, max_negative: int) -> tuple[list[str], list[int]]:
-    """The labelled rows of least hash, so many of each label at most; ties by text."""
-    rows: list[tuple[str, int]] = []
-    key = F.xxhash64(F.col("__text"))
-    src = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"), F.col(label_col).cast("int").alias("__label")).filter("__label in (0, 1)")
+def sample(learn: DataFrame, marked: DataFrame, max_positive: int, max_negative: int, max_chars: int) -> tuple[list[str], list[int]]:
+    """Texts and labels of the labelled rows of least hash: so many of each label, and characters in all, at most.
+
+    learn: __id, __text; marked: __lid, __y. Hashes, ids and lengths are joined with the labels; only
+    the texts of the chosen ids (max_positive + max_negative at most) leave the scan.
+    """
+    keyed = learn.select("__id", F.xxhash64("__text").alias("key"), F.length("__text").alias("n"))
+    known = keyed.join(marked, F.col("__id") == F.col("__lid")).select("__id", "key", "n", F.col("__y").cast("int").alias("y")).distinct()
+    rows = []
     for label, most in ((1, max_positive), (0, max_negative)):
-        got = src.filter(F.col("__label") == label).select("__text", key.alias("__key")).orderBy("__key", "__text").limit(most)
-        rows += [(r[0], label) for r in got.select("__text").toLocalIterator()]
-    return [t for t, _ in rows], [y for _, y in rows]
+        rows += known.filter(F.col("y") == label).orderBy("key", "__id").limit(most).collect()
+    share = min(1.0, max_chars / max(1, sum(r["n"] for r in rows)))
+    chosen: dict = {}
+    for label in (1, 0):  # whole texts, in order of hash, until the label's share of the characters is used up
+        mine = [r for r in rows if r["y"] == label]
+        room = share * sum(r["n"] for r in mine)
+        for r in mine:
+            if room <= 0:
+                break
+            room -= r["n"]
+            chosen[r["__id"], r["key"]] = label
+    if not chosen:
+        return [], []
+    spark = learn.sparkSession
+    ids = spark.createDataFrame([(i, k) for i, k in chosen], f"__id {learn.schema['__id'].dataType.simpleString()}, key bigint")
+    met = learn.withColumn("key", F.xxhash64("__text")).join(F.broadcast(ids), ["__id", "key"]).select("__id", "key", "__text")
+    found = {(r["__id"], r["key"]): r["__text"] for r in met.toLocalIterator()}
+    order = sorted(found, key=lambda x: (x[1], str(x[0])))
+    return [found[k] for k in order], [chosen[k] for k in order]
 
 
 def apply(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
@@ -222,14 +244,13 @@ def held_out(id_col: str = "doc_id"):  # noqa: ANN201
     return (F.crc32(F.col(id_col).cast("string")) % 4) == 2
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 3000, max_negative: int = 5000, threshold: float = 0.3) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 3000, max_negative: int = 5000, max_chars: int = 40_000_000, threshold: float = 0.3) -> DataFrame:
     """id, held_out, score, predicted for each row of docs; learns from the rows that are not held out.
 
     A null id belongs to no fold and is not held out; it joins no label.
     """
-    marked = labels.select(F.col(id_col).alias("__lid"), F.col(label_col).alias("__y")).filter(F.col("__y").isNotNull()).groupBy("__lid").agg(F.max("__y").alias("__y"))
-    src = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    learn = src.filter(~held_out("__id")).join(marked.filter(~held_out("__lid")), F.col("__id") == F.col("__lid"))
-    model = fit(*sample(learn, "__text", "__y", max_positive, max_negative))
+    marked = labels.select(F.col(id_col).alias("__lid"), F.col(label_col).cast("int").alias("__y")).filter("__y in (0, 1)").groupBy("__lid").agg(F.max("__y").alias("__y"))
+    src = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
+    model = fit(*sample(src.filter(~held_out("__id")), marked.filter(~held_out("__lid")), max_positive, max_negative, max_chars))
     scored = apply(src.select("__id", "__text", F.coalesce(held_out("__id"), F.lit(False)).alias("held_out")), model, "__text")
     return scored.select(F.col("__id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
