@@ -81,9 +81,19 @@ def sharded_path(clip_id: Column) -> Column:
     return F.concat(F.lit("audio/"), shard, F.lit("/"), clip_id, F.lit(".wav"))
 
 
-def release_names(job: Column, batch: Column, chunk: Column) -> dict[str, Column]:
-    rid = F.concat_ws(".", job, batch, F.lpad(chunk.cast("string"), 4, "0"))
-    return {"release_id": rid, "staging_revision": F.concat(F.lit("staging/"), rid), "path_prefix": F.concat(F.lit("releases/"), rid)}
+def release_names(campaign: Column, job: Column, batch: Column, staging: str = "staging") -> dict[str, Column]:
+    """Names of a batch's release; null if a component is empty, begins with a dot or holds a slash."""
+    parts = (campaign, job, batch)
+    unsafe = F.lit(False)
+    for c in parts:
+        unsafe = unsafe | F.coalesce((c == "") | c.startswith(".") | c.contains("/"), F.lit(True))
+    rid = F.when(~unsafe, F.concat_ws("--", *parts))
+    return {"release_id": rid, "staging_revision": F.concat(F.lit(f"{staging}/"), rid), "path_prefix": F.concat(F.lit("releases/"), rid)}
+
+
+def chunk_name(job: Column, batch: Column, chunk: Column) -> Column:
+    """The name of one chunk's release."""
+    return F.concat_ws("__", job, batch, F.concat(F.lit("c"), F.lpad(chunk.cast("string"), 5, "0")))
 
 
 @F.pandas_udf(T.StringType())

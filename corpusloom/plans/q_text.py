@@ -73,11 +73,12 @@ def canonical_paths(spark, sf_dir):  # noqa: ANN001, ANN201
     return over(spark, sf_dir, PATHS).select("doc_id", text.sharded_path(F.col("id")).alias("path"))
 
 
-@query("""SELECT doc_id, source || '.' || lang || '.' || lpad(CAST(doc_id % 7 AS VARCHAR), 4, '0') AS release_id, 'staging/' || source || '.' || lang || '.' || lpad(CAST(doc_id % 7 AS VARCHAR), 4, '0') AS staging_revision, 'releases/' || source || '.' || lang || '.' || lpad(CAST(doc_id % 7 AS VARCHAR), 4, '0') AS path_prefix, regexp_replace(source || ' x/ü', '[^A-Za-z0-9._-]+', '_', 'g') AS safe FROM {documents}""")
+@query("""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN source || '--' || lang || '--b' || doc_id % 7 END AS rid, source, lang FROM {documents}) SELECT doc_id, rid AS release_id, 'staging/' || rid AS staging_revision, 'releases/' || rid AS path_prefix, source || '__' || lang || '__c' || lpad(CAST(doc_id % 7 AS VARCHAR), 5, '0') AS chunk, regexp_replace(source || ' x/ü', '[^A-Za-z0-9._-]+', '_', 'g') AS safe FROM r""")
 def release_names(spark, sf_dir):  # noqa: ANN001, ANN201
     d = table(spark, sf_dir, "documents")
-    got = text.release_names(F.col("source"), F.col("lang"), F.col("doc_id") % 7)
-    return d.select("doc_id", *(c.alias(k) for k, c in got.items()), text.safe_name(F.concat("source", F.lit(" x/ü"))).alias("safe"))
+    i = F.col("doc_id")
+    got = text.release_names(F.col("source"), F.col("lang"), F.when(i % 5 == 0, ".b").otherwise(F.concat(F.lit("b"), (i % 7).cast("string"))))
+    return d.select("doc_id", *(c.alias(k) for k, c in got.items()), text.chunk_name(F.col("source"), F.col("lang"), i % 7).alias("chunk"), text.safe_name(F.concat("source", F.lit(" x/ü"))).alias("safe"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, -0.08397278 * q * q + 1.22083953 * q + 0.0052439 AS sig, -0.13166888 * q * q + 1.60915514 * q + -0.39604546 AS bak, -0.06766283 * q * q + 1.11546468 * q + 0.04602535 AS ovrl FROM (SELECT *, l_quantity / 10 AS q FROM {lineitem}) x""")
