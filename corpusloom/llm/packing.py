@@ -140,7 +140,18 @@ def fit_counts(pats: np.ndarray, histogram: np.ndarray, steps: int = FIT_STEPS)
     return x
 
 
+#: Shares of the fitted counts that are tried; the rest is left to the residuals.
+SHARES = (1.0, 0.98, 0.9, 0.7)
+
+
 def plan(histogram: np.ndarray, max_len: int = MAX_LEN) -> tuple[np.ndarray, int]:
+    """The plan of fewest sequences among those that take the SHARES of the fitted repeat counts (see rounded)."""
+    pats = patterns(max_len, np.flatnonzero(histogram))
+    x = fit_counts(pats, histogram)
+    return min((rounded(histogram, pats, x * s, max_len) for s in SHARES), key=lambda r: r[1])
+
+
+def rounded(histogram: np.ndarray, pats: np.ndarray, x: np.ndarray, max_len: int) -> tuple[np.ndarray, int]:
     """The plan for a histogram (count of pieces by length), and its number of sequences.
 
     A row (length, first rank, how many, first sequence, per sequence, offset) says: so many pieces
@@ -157,8 +168,7 @@ def plan(histogram: np.ndarray, max_len: int = MAX_LEN) -> tuple[np.ndarray, int
         taken[length] += many
         left[length] -= many
 
-    pats = patterns(max_len, np.flatnonzero(histogram))
-    x = np.floor(fit_counts(pats, left) + 1e-6).astype(np.int64)
+    x = np.floor(x + 1e-6).astype(np.int64)
     for k in np.argsort(-x, kind="stable"):
         if x[k] < 1:
             break
