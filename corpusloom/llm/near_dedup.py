@@ -161,7 +161,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sig.append((s >> np.uint64(56)).astype(np.uint8).tobytes())
                 sets, size = [], 0
         cols = [pa.array(x, t) for x, t in zip((node, bands, sig), _SIGNED.types)]
-        yield pa.RecordBatch.from_arrays([b["__id"], *cols], names=["__id", *_SIGNED.names])
+        yield pa.RecordBatch.from_arrays([b["__id"], b["__sum"], *cols], names=["__id", "__sum", *_SIGNED.names])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,31 +177,53 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the share of equal coordinates of sig and hub_sig."""
+    """Add the share of equal coordinates of both signatures."""
     for b in batches:
         same = [float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean()) for x, y in zip(b["sig"].to_pylist(), b["hub_sig"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([b["key"], b["node"], b["sig"], b["hub"], pa.array(same, pa.float64())], names=["key", "node", "sig", "hub", "same"])
+        yield pa.RecordBatch.from_arrays([b["node"], b["hub"], b["sig"], pa.array(same, pa.float64())], names=["node", "hub", "sig", "same"])
+
+
+def counted(df: DataFrame, what: str):  # noqa: ANN201
+    """(df written, its rows, a hint): the hint broadcasts a side of at most BROADCAST_ROWS rows, and else leaves the choice to Spark."""
+    df = C.materialise(df, what)
+    n = df.count()
+    return df, n, F.broadcast if n <= BROADCAST_ROWS else (lambda x: x)
+
+
+#: Coordinates by which a bucket's rest parts, round by round (the last again and again).
+FINER = (1, 3, 9)
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket."""
-    rows = reps.select(F.explode("bands").alias("key"), "node", "sig")
+    """Pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket.
+
+    Rows of buckets are a key, a node and its popularity; signatures meet only pairs, and each pair
+    once, however many buckets it shares.
+    """
+    sigs = reps.select("node", "sig")
+    rows = reps.select(F.explode("bands").alias("key"), "node")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows, n, small = counted(rows.join(sizes, "key"), "buckets")
+    rows = rows.join(small(rows.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop")
     found, step = None, 0
-    while True:
-        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = C.materialise(rows.join(sizes, "key"), "buckets")
-        if rows.isEmpty():
+    while n:
+        hubs = rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("h.node").alias("hub"))
+        met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("key", "node", "pop", "hub"), "met")
+        if not n:
             break
-        popular = rows.groupBy("node").agg(F.sum("n").alias("pop"))
-        hubs = rows.join(popular, "node").groupBy("key").agg(F.max(F.struct("pop", "node", "sig")).alias("h"))
-        met = rows.join(hubs.select("key", F.col("h.node").alias("hub"), F.col("h.sig").alias("hub_sig")), "key").filter(F.col("node") != F.col("hub"))
-        met = met.select("key", "node", "sig", "hub", "hub_sig")
-        met = C.materialise(met.mapInArrow(_agreeing, T.StructType([*met.schema.fields[:4], T.StructField("same", T.DoubleType())])), "met")
-        part = met.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        pairs = small(met.select("node", "hub").distinct())
+        pairs = sigs.join(pairs, "node").withColumnRenamed("sig", "node_sig")
+        pairs = sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(pairs), "hub").select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
+        kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("same", T.DoubleType())])
+        pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing")
+        part = pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b"))
         found = part if found is None else found.unionByName(part)
-        # the rest parts by one more coordinate, another one in each band
-        at = F.pmod(F.col("key") + step * 7, F.lit(BANDS * ROWS)).cast("int") + 1
-        rows = met.filter(F.col("same") < LINKED).select(F.xxhash64("key", F.substring("sig", at, F.lit(1))).alias("key"), "node", "sig")
+        # the rest parts by further coordinates, others in each band and round
+        wide = FINER[min(step, len(FINER) - 1)]
+        at = F.pmod(F.col("key"), F.lit(BANDS * ROWS)).cast("int")
+        bits = [F.substring("sig", (at + 31 * step + 7 * i) % (BANDS * ROWS) + 1, F.lit(1)) for i in range(wide)]
+        apart = small(pairs.filter(F.col("same") < LINKED).select("node", "hub", "sig"))
+        rows, n, small = counted(met.join(apart, ["node", "hub"]).select(F.xxhash64("key", *bits).alias("key"), "node", "pop"), "rest")
         step += 1
     if found is None:
         return reps.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
@@ -214,23 +236,23 @@ def components(links: DataFrame) -> DataFrame:
     Labels spread along the links and then jump to the label of the label, so a class of any
     diameter takes a number of rounds near its logarithm. Each round is written to the shared folder.
     """
-    edges = C.materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    edges, _, small = counted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = C.materialise(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels")
     while True:
-        near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("l"))
-        once = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid"))
+        near = edges.join(small(labels.select(F.col("node").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("l"))
+        once = labels.join(small(near.withColumnRenamed("a", "node")), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        new = C.materialise(once.join(jump, "mid", "left").select("node", "was", F.least("mid", "far").alias("label")), "labels")
+        new = C.materialise(once.join(small(jump), "mid", "left").select("node", "was", F.least("mid", "far").alias("label")), "labels")
         labels = new.select("node", "label")
         if new.filter(F.col("was") != F.col("label")).isEmpty():
             return labels
 
 
 def signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, node, bands, sig) of each row; node is a hash of the words, null if there are none."""
+    """(__id, __sum, node, bands, sig) of each row; __sum is a hash of the text, node one of its words, null if there are none."""
     C.prepare(df.sparkSession)
-    src = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    schema = T.StructType([src.schema["__id"], T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())])
+    src = df.select(F.col(id_col).alias("__id"), text_sum(text_col).alias("__sum"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
+    schema = T.StructType([src.schema["__id"], src.schema["__sum"], T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())])
     return C.materialise(src.mapInArrow(_sign, schema), "signed")
 
 
@@ -239,35 +261,50 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     kept is true for the rows of the least id; repeated rows of that id are all kept.
     """
+    return classes(df, id_col, text_col).drop("__sum")
+
+
+def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates with __sum, which tells rows of the same id apart."""
     all_rows = signed(df, id_col, text_col)
     # Of a node's rows one, with its id, stands for all: combined before the shuffle, however many copies there are.
     reps = C.materialise(all_rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "bands", "sig")).alias("r"), F.count(F.lit(1)).alias("n")).select("node", "r.__id", "r.bands", "r.sig", "n"), "reps")
     pairs = C.materialise(candidates(reps.select("node", "bands", "sig")), "pairs")
     # Only texts of candidates go through the shuffle.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(reps.select("node", "__id"), "node")
-    src = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = semi(src, wanted.select("__id").distinct(), "__id")
-    kind = T.StructType([T.StructField("__id", src.schema["__id"].dataType), T.StructField("text", T.StringType()), T.StructField("node", T.BinaryType())])
-    texts = C.materialise(texts.mapInArrow(_named, kind).join(wanted.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = C.materialise(wanted.join(reps.select("node", text_key("__id").alias("__k")), "node"), "wanted")
+    src = df.select(text_key(id_col).alias("__k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = semi(src, wanted.select("__k").distinct(), "__k")
+    kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("node", T.BinaryType())])
+    texts = C.materialise(texts.mapInArrow(_named, kind).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.select("a", "text_a", "b", "text_b")
     links = C.materialise(both.mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
     nodes = reps.select("node", "__id", "n").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     of = nodes.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"))
     known = nodes.select("node", "label").join(of, "label").select("node", F.col("c.id").alias("class_id"), "size")
-    some = all_rows.select("__id", "node").join(known, "node", "left")
+    some = all_rows.select("__id", "__sum", "node").join(known, "node", "left")
     own = F.col("node").isNull()
     cid = F.when(own, F.col("__id")).otherwise(F.col("class_id"))
-    return some.select(F.col("__id").alias(id_col), cid.alias("class_id"), F.coalesce("size", F.lit(1)).cast("long").alias("class_size"), F.coalesce(F.col("__id").eqNullSafe(cid), F.lit(False)).alias("kept"))
+    return some.select(F.col("__id").alias(id_col), cid.alias("class_id"), F.coalesce("size", F.lit(1)).cast("long").alias("class_size"), F.coalesce(F.col("__id").eqNullSafe(cid), F.lit(False)).alias("kept"), "__sum")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         nodes = [hashlib.blake2b(normalise(t)[0].tobytes(), digest_size=16).digest() for t in b["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([b["__id"], b["text"], pa.array(nodes, pa.binary())], names=["__id", "text", "node"])
+        yield pa.RecordBatch.from_arrays([b["text"], pa.array(nodes, pa.binary())], names=["text", "node"])
+
+
+def text_key(c: str):  # noqa: ANN201
+    """An id as text, null as a text that no id is: joins compare it."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("\x00null"))
+
+
+def text_sum(c: str):  # noqa: ANN201
+    return F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary"))
 
 
-def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+def semi(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "left_semi") -> DataFrame:
     """df with (or, left_anti, without) the ids. They are broadcast only if they are counted and few; else both sides are shuffled."""
     ids = C.materialise(ids, "ids")
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -277,13 +314,12 @@ def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> Dat
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each class, all its columns kept.
 
-    The row of the least id stays. Rows that repeat that id are told apart by their words; of equal
-    ones one stays.
+    The row of the least id stays. Rows of one id are told apart by their texts; of equal ones one stays.
     """
-    classes = C.materialise(near_duplicates(df, id_col, text_col), "classes")
-    lost = classes.groupBy(id_col).agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
-    gone = lost.filter(~F.col("k")).select(F.col(id_col).alias("__gone"))
-    out = semi(df.withColumn("__gone", F.col(id_col)), gone, "__gone", "left_anti").drop("__gone")
-    if lost.filter("n > 1").isEmpty():
-        return out
-    return out.withColumn("__same", F.md5(F.col(text_col).cast("binary"))).dropDuplicates([id_col, "__same"]).drop("__same")
+    found = C.materialise(classes(df, id_col, text_col).select(text_key(id_col).alias("__k"), "__sum", "kept"), "classes")
+    per = found.groupBy("__k", "__sum").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
+    keyed = df.withColumns({"__k": text_key(id_col), "__sum": text_sum(text_col)})
+    out = semi(keyed, per.filter(~F.col("k")).select("__k", "__sum"), ["__k", "__sum"], "left_anti")
+    if not per.filter("k and n > 1").isEmpty():
+        out = out.dropDuplicates(["__k", "__sum"])
+    return out.select(df.columns)
