@@ -15,7 +15,11 @@ from pyspark.sql import types as T
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType, time: str = "ts", files_per_trigger: int = 1, **options: str) -> DataFrame:
-    """Parquet files of a folder as they arrive; a naive time becomes an instant, as watermarks need one."""
+    """Parquet files of a folder (or one file) as they arrive; a naive time becomes an instant, as watermarks need one."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile():  # a stream's source is a folder
+        options["pathGlobFilter"] = at.getName()
+        path = str(at.getParent())
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).options(**options).parquet(path)
     return s.withColumn(time, F.col(time).cast("timestamp"))
 
@@ -64,3 +68,20 @@ def drain(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None
     q = (w.option("checkpointLocation", checkpoint) if checkpoint else w).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def settle(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Run a stream until its input is used up, write each trigger's rows under folder and read what holds.
+
+    Each trigger's rows go to a directory of their own, which a repeated trigger overwrites, so every
+    row is there exactly once; in complete mode the last trigger's rows are the result.
+    """
+    spark, schema = df.sparkSession, df.schema
+    q = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{folder}/state")
+    q = q.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{folder}/rows/n={n}")).start()
+    q.awaitTermination()
+    at = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/rows").select("*", F.regexp_extract(F.col("_metadata.file_path"), r"/n=(\d+)/", 1).cast("bigint").alias("__n"))
+    if mode != "complete":
+        return at.drop("__n")
+    newest = at.agg(F.max("__n").alias("m"))
+    return at.join(F.broadcast(newest), F.col("__n") == F.col("m")).drop("__n", "m")
