@@ -17,6 +17,7 @@ rows; input columns whose names clash with those added are replaced.
 from __future__ import annotations
 
 import math
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm import _common as C
 
 BLANK = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\f\r"
+#: Capital letters of the scripts that have them up to U+058F (Latin, Greek, Cyrillic, Armenian).
+CAPITALS = "".join(c for c in map(chr, range(0x590)) if unicodedata.category(c) == "Lu")
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 ITERATIONS, MIN_POSTERIOR = 12, 0.5
@@ -68,32 +72,37 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def measure(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with a struct __m of what the rules look at."""
+    """df with columns __m_<name> of what the rules look at.
+
+    Flat columns, as fields of a struct would be worked out anew wherever they are used.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     df = df.withColumn("__t", text).withColumn("__w", words(F.col("__t"))).withColumn("__l", F.filter(F.split("__t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     t, w, lines = F.col("__t"), F.col("__w"), F.col("__l")
-    solid = F.regexp_replace(t, BLANK, "")
+    without = lambda chars: F.length(F.translate(t, chars, ""))
     long = lambda c: c.cast("long")
-    upper = F.length(F.regexp_replace(t, r"[^\p{Lu}]+", ""))
-    letter = F.length(F.regexp_replace(t, r"[^\p{L}]+", ""))
     m = {
         "n_words": long(F.size(w)),
-        "word_chars": long(F.length(solid)),
-        "n_symbols": long(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))),
+        "word_chars": long(without(BLANKS)),
+        "n_symbols": long(F.length(t) - without(SYMBOLS)),
         "n_dup_lines": long(F.size(lines) - F.size(F.array_distinct(lines))),
         "n_repeat_words": repeated_words(w),
         "n_lines": long(F.size(lines)),
         "n_distinct": long(F.size(F.array_distinct(w))),
-        "n_upper": long(upper),
-        "n_letters": long(letter),
+        "n_upper": long(F.length(t) - without(CAPITALS)),
         "n_common": long(F.size(F.filter(w, lambda x: F.lower(x).isin(*COMMON)))),
-        "n_bangs": long(F.length(t) - F.length(F.translate(t, "!", ""))),
+        "n_bangs": long(F.length(t) - without("!")),
         "n_stops": long(F.size(F.filter(w, lambda x: F.substring(x, -1, 1).isin(".", "!", "?", ":")))),
     }
-    return df.withColumn("__m", F.struct(*(c.alias(k) for k, c in m.items()))).drop("__t", "__w", "__l")
+    return df.select("*", *(c.alias(f"__m_{k}") for k, c in m.items())).drop("__t", "__w", "__l")
+
 
+def measured() -> dict[str, Column]:
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_common", "n_bangs", "n_stops")
+    return {k: F.col(f"__m_{k}") for k in names}
 
-def rules(m: Column) -> dict[str, Column]:
+
+def rules(m: dict[str, Column]) -> dict[str, Column]:
     """Votes: 1 good, 0 bad, null abstains. Each has a band between in which it does not know."""
     n = m["n_words"]
 
@@ -101,7 +110,7 @@ def rules(m: Column) -> dict[str, Column]:
         return F.when(bad, F.lit(0)).when(good, F.lit(1))
 
     sym, dup, rep = share(m["n_symbols"], n), share(m["n_dup_lines"], m["n_lines"]), share(m["n_repeat_words"], n)
-    up, common, distinct = share(m["n_upper"], m["n_letters"]), share(m["n_common"], n), share(m["n_distinct"], n)
+    up, common, distinct = share(m["n_upper"], m["word_chars"]), share(m["n_common"], n), share(m["n_distinct"], n)
     per, bangs, stops = share(m["word_chars"], n), share(m["n_bangs"], n), share(n, m["n_stops"])
     return {
         "symbols": vote(sym < 0.02, sym > 0.1),
@@ -117,9 +126,13 @@ def rules(m: Column) -> dict[str, Column]:
 
 
 def votes(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with __m and the votes v_<rule>."""
+    """df with what measure adds and the votes __v_<rule>.
+
+    A filter that also asks for __part >= 0 stays above the votes; the optimizer would else move it
+    below them, where it works the measures out once for each vote.
+    """
     df = measure(df, text_col)
-    return df.select("*", *(v.cast("int").alias(f"__v_{k}") for k, v in rules(F.col("__m")).items()))
+    return df.select("*", *(v.cast("int").alias(f"__v_{k}") for k, v in rules(measured()).items()), F.spark_partition_id().alias("__part"))
 
 
 def estimate(voted: DataFrame, iterations: int = ITERATIONS) -> tuple[float, dict[str, tuple[float, float]]]:
@@ -161,7 +174,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 def _judged(voted: DataFrame, min_posterior: float) -> DataFrame:
     prior, says = estimate(voted)
-    m = F.col("__m")
+    m = measured()
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
     out = voted.withColumns({**{k: m[k] for k in BASE}, "base_failed": failed, "quality": posterior(prior, says)})
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= min_posterior))
@@ -179,6 +192,6 @@ def keep_good(df: DataFrame, text_col: str = "text", min_posterior: float = MIN_
     """The rows of df that are kept, with df's columns. Texts are measured again rather than shuffled."""
     prior, says = estimate(votes(df.select(text_col), text_col))
     voted = votes(df, text_col)
-    m = F.col("__m")
+    m = measured()
     ok = (m["n_words"] >= MIN_WORDS) & (100 * m["n_repeat_words"] <= MAX_REPEAT_PERCENT * m["n_words"])
-    return voted.filter(ok & (posterior(prior, says) >= min_posterior)).select(df.columns)
+    return voted.filter(ok & (posterior(prior, says) >= min_posterior) & (F.col("__part") >= 0)).select(df.columns)
