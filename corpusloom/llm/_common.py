@@ -53,15 +53,21 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
+def materialise(df: DataFrame, what: str, folded: bool = False) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it again.
 
+    folded: the table comes from a shuffle and has a known small bound; it is written by at most two
+    tasks per core, which spares thousands of tiny files where Spark does not merge small partitions.
+
     This cuts the lineage: a lost executor costs at most the tasks of the stage that runs, and a
     Python pass that several later plans read runs once.
     """
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.parquet(path)
+    if folded:
+        df.coalesce(max(8, 2 * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,6 +45,8 @@ ESTIMATE, LINKED = 0.6, 0.78
 UNITS = 100_000
 #: Rows up to which a table of ids may be broadcast: 48 bytes each.
 BROADCAST_ROWS = 200_000
+#: Rows up to which a table of keys and nodes is written by few tasks: some tens of bytes each.
+FOLD_ROWS = 1_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _POWERS = np.ones(1, np.uint64)
@@ -183,13 +185,21 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["node"], b["hub"], b["sig"], pa.array(same, pa.float64())], names=["node", "hub", "sig", "same"])
 
 
-def counted(df: DataFrame, what: str):  # noqa: ANN201
-    """(df written, its rows, a hint): the hint broadcasts a side of at most BROADCAST_ROWS rows, and else leaves the choice to Spark."""
-    df = C.materialise(df, what)
+def counted(df: DataFrame, what: str, most: int | None = None):  # noqa: ANN201
+    """(df written, its rows, a hint): the hint broadcasts a side of at most BROADCAST_ROWS rows, and else leaves the choice to Spark.
+
+    most: the rows that df may have, if that is known.
+    """
+    df = C.materialise(df, what, few(most))
     n = df.count()
     return df, n, F.broadcast if n <= BROADCAST_ROWS else (lambda x: x)
 
 
+def few(most: int | None) -> bool:
+    """Whether a table of so many rows may be written by few tasks."""
+    return most is not None and most <= FOLD_ROWS
+
+
 #: Coordinates by which a bucket's rest parts, round by round (the last again and again).
 FINER = (1, 3, 9)
 
@@ -208,14 +218,14 @@ def candidates(reps: DataFrame) -> DataFrame:
     found, step = None, 0
     while n:
         hubs = rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("h.node").alias("hub"))
-        met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("key", "node", "pop", "hub"), "met")
+        met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("key", "node", "pop", "hub"), "met", n)
         if not n:
             break
         pairs = small(met.select("node", "hub").distinct())
         pairs = sigs.join(pairs, "node").withColumnRenamed("sig", "node_sig")
         pairs = sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(pairs), "hub").select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
         kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("same", T.DoubleType())])
-        pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing")
+        pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing", few(n))
         part = pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b"))
         found = part if found is None else found.unionByName(part)
         # the rest parts by further coordinates, others in each band and round
@@ -223,26 +233,26 @@ def candidates(reps: DataFrame) -> DataFrame:
         at = F.pmod(F.col("key"), F.lit(BANDS * ROWS)).cast("int")
         bits = [F.substring("sig", (at + 31 * step + 7 * i) % (BANDS * ROWS) + 1, F.lit(1)) for i in range(wide)]
         apart = small(pairs.filter(F.col("same") < LINKED).select("node", "hub", "sig"))
-        rows, n, small = counted(met.join(apart, ["node", "hub"]).select(F.xxhash64("key", *bits).alias("key"), "node", "pop"), "rest")
+        rows, n, small = counted(met.join(apart, ["node", "hub"]).select(F.xxhash64("key", *bits).alias("key"), "node", "pop"), "rest", n)
         step += 1
     if found is None:
         return reps.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return found.distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, label) of all nodes of links (a, b): the least node that each is connected to.
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, label) of all nodes of (at most so many) links (a, b): the least node that each is connected to.
 
     Labels spread along the links and then jump to the label of the label, so a class of any
     diameter takes a number of rounds near its logarithm. Each round is written to the shared folder.
     """
-    edges, _, small = counted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = C.materialise(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels")
+    edges, n, small = counted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", None if most is None else 2 * most)
+    labels = C.materialise(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels", few(n))
     while True:
         near = edges.join(small(labels.select(F.col("node").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("l"))
         once = labels.join(small(near.withColumnRenamed("a", "node")), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        new = C.materialise(once.join(small(jump), "mid", "left").select("node", "was", F.least("mid", "far").alias("label")), "labels")
+        new = C.materialise(once.join(small(jump), "mid", "left").select("node", "was", F.least("mid", "far").alias("label")), "labels", few(n))
         labels = new.select("node", "label")
         if new.filter(F.col("was") != F.col("label")).isEmpty():
             return labels
@@ -269,10 +279,10 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     all_rows = signed(df, id_col, text_col)
     # Of a node's rows one, with its id, stands for all: combined before the shuffle, however many copies there are.
     reps = C.materialise(all_rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "bands", "sig")).alias("r"), F.count(F.lit(1)).alias("n")).select("node", "r.__id", "r.bands", "r.sig", "n"), "reps")
-    pairs = C.materialise(candidates(reps.select("node", "bands", "sig")), "pairs")
+    pairs, n_pairs, _ = counted(candidates(reps.select("node", "bands", "sig")), "pairs")
     # Only texts of candidates go through the shuffle.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = C.materialise(wanted.join(reps.select("node", text_key("__id").alias("__k")), "node"), "wanted")
+    wanted = C.materialise(wanted.join(reps.select("node", text_key("__id").alias("__k")), "node"), "wanted", few(2 * n_pairs))
     src = df.select(text_key(id_col).alias("__k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = semi(src, wanted.select("__k").distinct(), "__k")
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("node", T.BinaryType())])
@@ -280,7 +290,7 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.select("a", "text_a", "b", "text_b")
     links = C.materialise(both.mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
-    nodes = reps.select("node", "__id", "n").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    nodes = reps.select("node", "__id", "n").join(components(links, n_pairs), "node", "left").withColumn("label", F.coalesce("label", "node"))
     of = nodes.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"))
     known = nodes.select("node", "label").join(of, "label").select("node", F.col("c.id").alias("class_id"), "size")
     some = all_rows.select("__id", "__sum", "node").join(known, "node", "left")

@@ -275,7 +275,7 @@ def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     path = C.new_path(spark, "pieces")
     parts.select(kept).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     parts = spark.read.schema(parts.select(kept).schema).parquet(path).select("*", F.col("_metadata.file_name").alias("__part"), F.col("_metadata.row_index").alias("__row"))
-    counts = C.materialise(parts.groupBy("__part", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
+    counts = C.materialise(parts.groupBy("__part", "length").agg(F.count(F.lit(1)).alias("n")), "counts", folded=True)
     histogram = np.zeros(max_len + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # max_len rows at most
         histogram[r["length"]] = r["n"]

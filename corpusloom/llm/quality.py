@@ -144,7 +144,7 @@ def estimate(voted: DataFrame, iterations: int = ITERATIONS) -> tuple[float, dic
     there are several kinds of bad texts. Counts are smoothed by one, so an unused rule says nothing.
     """
     names = [c for c in voted.columns if c.startswith("__v_")]
-    patterns = C.materialise(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")), "votes")
+    patterns = C.materialise(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")), "votes", folded=True)
     prior, says = 0.8, {k: (0.98, 0.7) for k in names}
     for _ in range(iterations):
         good, bad = F.col("__n") * F.col("__p"), F.col("__n") * (1 - F.col("__p"))

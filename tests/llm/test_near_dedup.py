@@ -113,3 +113,10 @@ def test_null_ids(spark):
     assert sorted(str(x["doc_id"]) for x in N.drop_near_duplicates(df).collect()) == ["5", "None", "None"]
     same = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(changed(r, base, 0.003))), (2, " ".join(prose(r, 60))), (2, " ".join(base))], "doc_id bigint, text string")
     assert sorted(x["doc_id"] for x in N.drop_near_duplicates(same).collect()) == [1, 2]
+
+
+def test_without_broadcasts(spark, monkeypatch):
+    rows = fixture(9)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(N, "BROADCAST_ROWS", -1)
+    assert {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()} == truth(rows)

@@ -31,6 +31,14 @@ def test_round_trip(spark):
     assert order == sorted(order) and sorted(r["capture_no"] for r in got) == list(range(1, len(got) + 1))
 
 
+def test_without_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame(rows(), "page_id bigint, url string, html string")
+    have = lambda: sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in W.capture_history(df).collect())
+    a = have()
+    monkeypatch.setattr(W, "BROADCAST_ROWS", -1)
+    assert have() == a
+
+
 def test_index_over_many_ranges_and_archives(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"http://h{i * 7919 % 50}.net/{i % 3}", "p" * (i % 50)) for i in range(400)], "page_id bigint, url string, html string").repartition(6)
     entries = W.write_archives(df, C.new_path(spark, "archives"))
