@@ -9,12 +9,12 @@ earliest dart stays. Two texts have the same dart in a coordinate with the proba
 weighted Jaccard similarity. Rank is cut so that k (ln k + 2) darts are expected whatever the size
 of the text, which makes signing linear in its shingles; if a coordinate has no dart, the cut doubles.
 
-Signatures are joined by bands. In a bucket each member is compared with one hub, the member whose
-buckets hold the most texts (of a base text and its variants, the base); a member that does not
-agree with the hub goes on to a finer bucket by one more coordinate, so no group is ever expanded
-into its pairs and a bucket that a common passage holds together falls apart quickly. Candidates
-whose signatures agree are verified by the exact weighted Jaccard similarity of the whole texts,
-and classes are the connected components of the verified links.
+Signatures are joined by bands. In a bucket each member is first compared with one hub, the member
+whose buckets hold the most texts (of a base text and its variants, the base): candidates whose
+signatures agree are verified by the exact weighted Jaccard similarity of the whole texts, and the
+verified links join members into classes, so a group of copies is never expanded into its pairs.
+Then, in each bucket that still holds more than one class, all members of different classes are
+compared exactly, whatever was estimated. Classes are the connected components of all links.
 
 Copies (equal words in the same order) are collapsed first. Defined results: null and empty texts
 and texts without words are like nothing, each is a class of its own; a text of fewer than five
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,10 @@ from corpusloom.llm.decontaminate import normalise
 WORDS = 5
 BANDS, ROWS = 24, 5
 THRESHOLD = 0.8
-#: Agreement of signatures from which a pair is verified, and from which a member counts as linked to its hub.
-ESTIMATE, LINKED = 0.6, 0.78
+#: Agreement of signatures from which a member and its hub are verified.
+ESTIMATE = 0.6
+#: Shingles of a bucket's members that one task holds, twice, to compare them with each other.
+BLOCK_UNITS = 300_000
 #: Shingles of texts that are signed together; a longer text is signed alone.
 UNITS = 100_000
 #: Rows up to which a table of ids may be broadcast: 48 bytes each.
@@ -182,7 +185,60 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the share of equal coordinates of both signatures."""
     for b in batches:
         same = [float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean()) for x, y in zip(b["sig"].to_pylist(), b["hub_sig"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([b["node"], b["hub"], b["sig"], pa.array(same, pa.float64())], names=["node", "hub", "sig", "same"])
+        yield pa.RecordBatch.from_arrays([b["node"], b["hub"], pa.array(same, pa.float64())], names=["node", "hub", "same"])
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of texts as sets: of a shingle that occurs c times, c elements. Weighted similarity is that of these sets."""
+    for b in batches:
+        out = []
+        for text in b["text"].to_pylist():
+            e, c = shingles(normalise(text)[0])
+            nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            out.append(C.mix(np.repeat(e, c) + nth.astype(np.uint64) * _G).tobytes())
+        yield pa.RecordBatch.from_arrays([b["node"], pa.array(out, pa.binary())], names=["node", "units"])
+
+
+def linked(sets: list[np.ndarray], labels: list[bytes], sides: list[int]) -> list[tuple[bytes, bytes]]:
+    """Links of labels that join all members of different labels that are alike; of two sides only members of different ones meet."""
+    cls = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)[1]
+    side, total = np.array(sides), np.array([len(x) for x in sets])
+    cross = len(set(sides)) > 1
+    ids = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(total)[:-1])
+    mark, out = np.zeros(total.sum(), np.uint8), []
+    for x in range(len(sets) - 1):
+        can = cls[x + 1 :] != cls[x]
+        can &= np.minimum(total[x + 1 :], total[x]) / np.maximum(total[x + 1 :], total[x]) >= THRESHOLD  # no similarity is above this
+        if cross:
+            can &= side[x + 1 :] != side[x]
+        ys = np.flatnonzero(can) + x + 1
+        if not len(ys):
+            continue
+        mark[ids[x]] = 1
+        both = np.add.reduceat(mark[np.concatenate([ids[y] for y in ys])], np.cumsum(total[ys]) - total[ys], dtype=np.int64)
+        mark[ids[x]] = 0
+        for y in ys[both / (total[ys] + total[x] - both) >= THRESHOLD]:
+            if cls[y] != cls[x]:
+                out.append((labels[x], labels[y]))
+                cls[cls == cls[y]] = cls[x]
+    return out
+
+
+def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each (key, i, j), whose rows follow each other: in one block if i is j, else between the two."""
+    names = ("key", "i", "j")
+
+    def rows() -> Iterator[tuple]:
+        for b in batches:
+            yield from zip(zip(*(b[c].to_pylist() for c in names)), b["side"].to_pylist(), b["label"].to_pylist(), b["units"].to_pylist())
+
+    for (_, i, j), group in groupby(rows(), key=lambda r: r[0]):
+        _, sides, labels, sets = zip(*group)
+        if i != j and len(set(sides)) < 2:
+            continue
+        links = linked([np.frombuffer(x, np.uint64) for x in sets], list(labels), list(sides))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], names=["a", "b"])
 
 
 def counted(df: DataFrame, what: str, most: int | None = None):  # noqa: ANN201
@@ -200,44 +256,47 @@ def few(most: int | None) -> bool:
     return most is not None and most <= FOLD_ROWS
 
 
-#: Coordinates by which a bucket's rest parts, round by round (the last again and again).
-FINER = (1, 3, 9)
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, buckets): pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket, and all rows (key, node) of buckets of two or more.
 
-
-def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket.
-
-    Rows of buckets are a key, a node and its popularity; signatures meet only pairs, and each pair
-    once, however many buckets it shares.
+    Signatures meet only pairs, and each pair once, however many buckets it shares.
     """
     sigs = reps.select("node", "sig")
     rows = reps.select(F.explode("bands").alias("key"), "node")
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows, n, small = counted(rows.join(sizes, "key"), "buckets")
-    rows = rows.join(small(rows.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop")
-    found, step = None, 0
-    while n:
-        hubs = rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("h.node").alias("hub"))
-        met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("key", "node", "pop", "hub"), "met", n)
-        if not n:
-            break
-        pairs = small(met.select("node", "hub").distinct())
-        pairs = sigs.join(pairs, "node").withColumnRenamed("sig", "node_sig")
-        pairs = sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(pairs), "hub").select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
-        kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("same", T.DoubleType())])
-        pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing", few(n))
-        part = pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        found = part if found is None else found.unionByName(part)
-        # the rest parts by further coordinates, others in each band and round
-        wide = FINER[min(step, len(FINER) - 1)]
-        at = F.pmod(F.col("key"), F.lit(BANDS * ROWS)).cast("int")
-        bits = [F.substring("sig", (at + 31 * step + 7 * i) % (BANDS * ROWS) + 1, F.lit(1)) for i in range(wide)]
-        apart = small(pairs.filter(F.col("same") < LINKED).select("node", "hub", "sig"))
-        rows, n, small = counted(met.join(apart, ["node", "hub"]).select(F.xxhash64("key", *bits).alias("key"), "node", "pop"), "rest", n)
-        step += 1
-    if found is None:
-        return reps.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    return found.distinct()
+    buckets, _, small = counted(rows.join(sizes, "key"), "buckets")
+    rows = buckets.join(small(buckets.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop")
+    hubs = rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
+    met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("node", "hub").distinct(), "met")
+    pairs = sigs.join(small(met), "node").withColumnRenamed("sig", "node_sig")
+    pairs = sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(pairs), "hub").select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
+    kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("same", T.DoubleType())])
+    pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing", few(n))
+    return pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b")), buckets.select("key", "node")
+
+
+def rest(buckets: DataFrame, labels: DataFrame, texts_of) -> DataFrame:  # noqa: ANN001
+    """Links (a, b) of labels between all members of a bucket that the labels do not join yet.
+
+    A bucket whose members have one label is done. In any other each two members of different labels
+    are compared exactly, but for those that links found before them have joined. A large bucket is
+    dealt into blocks of BLOCK_UNITS shingles by a hash of the node, and each two blocks meet in a
+    task's memory; only links, fewer than the members, come out.
+    """
+    rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    rows, n, small = counted(rows.join(mixed, "key"), "mixed")
+    kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("units", T.BinaryType())])
+    sets = C.materialise(texts_of(rows.select("node").distinct(), n).mapInArrow(_units, kind), "units")
+    rows = rows.join(small(sets.select("node", (F.length("units") / 8).alias("w"))), "node")
+    blocks = rows.groupBy("key").agg(F.ceil(F.sum("w") / BLOCK_UNITS).alias("nb"))
+    rows = rows.join(small(blocks), "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("nb")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+    rows = rows.select("node", "label", "side", F.struct("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")).alias("task"))
+    rows = rows.select("node", "label", "side", F.xxhash64("task.key", "task.i", "task.j").alias("deal"), "task")
+    met = rows.join(sets, "node").select("deal", F.col("task.key").alias("key"), F.col("task.i").alias("i"), F.col("task.j").alias("j"), "side", "label", "units")
+    met = met.repartition("deal").sortWithinPartitions("deal", "key", "i", "j")
+    return C.materialise(met.mapInArrow(_rest, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "rest")
 
 
 def components(links: DataFrame, most: int | None = None) -> DataFrame:
@@ -279,18 +338,25 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     all_rows = signed(df, id_col, text_col)
     # Of a node's rows one, with its id, stands for all: combined before the shuffle, however many copies there are.
     reps = C.materialise(all_rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "bands", "sig")).alias("r"), F.count(F.lit(1)).alias("n")).select("node", "r.__id", "r.bands", "r.sig", "n"), "reps")
-    pairs, n_pairs, _ = counted(candidates(reps.select("node", "bands", "sig")), "pairs")
-    # Only texts of candidates go through the shuffle.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = C.materialise(wanted.join(reps.select("node", text_key("__id").alias("__k")), "node"), "wanted", few(2 * n_pairs))
-    src = df.select(text_key(id_col).alias("__k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = semi(src, wanted.select("__k").distinct(), "__k")
-    kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("node", T.BinaryType())])
-    texts = C.materialise(texts.mapInArrow(_named, kind).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    found, buckets = candidates(reps.select("node", "bands", "sig"))
+    pairs, n_pairs, _ = counted(found, "pairs")
+
+    def texts_of(nodes: DataFrame, most: int) -> DataFrame:
+        """(node, text) of at most so many nodes: only texts that are compared go through the shuffle."""
+        wanted = C.materialise(nodes.join(reps.select("node", text_key("__id").alias("__k")), "node"), "wanted", few(most))
+        src = df.select(text_key(id_col).alias("__k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+        texts = semi(src, wanted.select("__k").distinct(), "__k")
+        kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("node", T.BinaryType())])
+        return texts.mapInArrow(_named, kind).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+
+    texts = C.materialise(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs), "texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.select("a", "text_a", "b", "text_b")
     links = C.materialise(both.mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
-    nodes = reps.select("node", "__id", "n").join(components(links, n_pairs), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    first = components(links, n_pairs)
+    final = components(rest(buckets, first, texts_of)).select(F.col("node").alias("first"), F.col("label").alias("final"))
+    nodes = reps.select("node", "__id", "n").join(first.withColumnRenamed("label", "first"), "node", "left").withColumn("first", F.coalesce("first", "node"))
+    nodes = nodes.join(final, "first", "left").withColumn("label", F.coalesce("final", "first"))
     of = nodes.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"))
     known = nodes.select("node", "label").join(of, "label").select("node", F.col("c.id").alias("class_id"), "size")
     some = all_rows.select("__id", "__sum", "node").join(known, "node", "left")

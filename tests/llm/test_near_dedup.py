@@ -120,3 +120,15 @@ def test_without_broadcasts(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     monkeypatch.setattr(N, "BROADCAST_ROWS", -1)
     assert {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()} == truth(rows)
+
+
+def classes_of(spark, rows):
+    return {r["doc_id"]: r["class_id"] for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+
+
+def test_variants_of_an_absent_base(spark):
+    """Members that are mostly 0.7 to 0.8 like any hub, and some of them 0.8 like each other."""
+    r = random.Random(12)
+    base = prose(r, 600)
+    rows = [(i, " ".join(changed(r, base, 0.02))) for i in range(300)]
+    assert classes_of(spark, rows) == truth(rows)
