@@ -132,3 +132,24 @@ def test_variants_of_an_absent_base(spark):
     base = prose(r, 600)
     rows = [(i, " ".join(changed(r, base, 0.02))) for i in range(300)]
     assert classes_of(spark, rows) == truth(rows)
+
+
+def test_pairs_under_a_hot_template(spark):
+    """Each text is an edited template, and a third of them have a copy: all links are found, as by all pairs."""
+    r, texts = random.Random(5), []
+    base = prose(r, 400)
+    for i in range(225):
+        one = changed(r, base, 0.0135)
+        texts.append(" ".join(one))
+        if i < 75:
+            texts.append(" ".join(changed(r, one, 0.0195)))
+    rows = list(enumerate(texts))
+    assert classes_of(spark, rows) == truth(rows)
+
+
+def test_blocks_of_a_bucket_meet(spark, monkeypatch):
+    r = random.Random(5)
+    base = prose(r, 400)
+    rows = [(i, " ".join(changed(r, base, 0.018))) for i in range(60)]
+    monkeypatch.setattr(N, "BLOCK_UNITS", 4000)
+    assert classes_of(spark, rows) == truth(rows)
