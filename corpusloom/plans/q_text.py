@@ -26,6 +26,15 @@ def char_error_rate(spark, sf_dir):  # noqa: ANN001, ANN201
     return p.select("doc_id", text.char_error_rate(F.col("r"), F.col("h")).alias("cer"))
 
 
+@query()
+def char_error_rate_whole(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Whole turns of conversations, all letters, against an edited copy; no twin, as DuckDB's levenshtein counts bytes."""
+    c = table(spark, sf_dir, "conversations")
+    r = F.coalesce("text", F.lit(""))
+    h = F.concat(F.translate(r, "aon", "äó"), F.lit(" …"))  # a and o replaced, n dropped, two characters more
+    return c.select("conv_id", "turn", r.alias("reference"), text.char_error_rate(r, h).alias("cer"))
+
+
 @query("""SELECT conv_id, turn, CASE WHEN trim(coalesce(text, '')) = '' THEN 'NOT_APPLICABLE' WHEN role = 'system' THEN 'OK' WHEN turn % 3 = 0 THEN 'UNKNOWN' WHEN (turn % 5) / 8.0 > 0.35 THEN 'ERROR' ELSE 'UNKNOWN' END AS status FROM {conversations}""")
 def transcript_status(spark, sf_dir):  # noqa: ANN001, ANN201
     c = table(spark, sf_dir, "conversations")
