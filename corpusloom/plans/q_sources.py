@@ -102,6 +102,15 @@ def merge_expanded(spark, sf_dir):  # noqa: ANN001, ANN201
     return scan.merge_expanded(inv, d.select(F.concat(p, F.lit("#row-1")).alias("path")))
 
 
+@query()
+def merge_expanded_whole(spark, sf_dir):  # noqa: ANN001, ANN201
+    """merge_expanded over the inventory of all documents; the twin of merge_expanded holds for even ids only."""
+    d = table(spark, sf_dir, "documents")
+    p = F.concat(F.lit("p"), F.col("doc_id").cast("string"))
+    inv = d.select(F.when(F.col("doc_id") % 4 == 0, F.concat(p, F.lit("#row-0"))).otherwise(p).alias("path"))
+    return scan.merge_expanded(inv, d.select(F.concat(p, F.lit("#row-1")).alias("path")))
+
+
 @query("""WITH c AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE '' END AS s FROM {documents}) SELECT doc_id, CASE WHEN s <> '' THEN 's:' || s END AS by_column, 'fixed' AS by_rule FROM c""")
 def speaker_rule(spark, sf_dir):  # noqa: ANN001, ANN201
     c = over(spark, sf_dir, "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE '' END AS s FROM {documents}")

@@ -2,6 +2,7 @@
 
 import pytest
 
+from corpusloom.operators import state
 from corpusloom.plans import base, catalog
 from tests.test_oracle import SF, pytestmark  # noqa: F401
 
@@ -24,3 +25,17 @@ def test_error_rate_of_whole_texts(spark):
         a = r["reference"]
         n = edits(a, a.translate(str.maketrans("ao", "äó", "n")) + " …")
         assert r["cer"] == pytest.approx(n / len(a) if a else 1.0)
+
+
+def test_parents_done_sees_the_whole_inventory(spark, monkeypatch):
+    seen, run = [], state.parents_done
+    monkeypatch.setattr(state, "parents_done", lambda inv, rows: (seen.append(inv.count()), run(inv, rows))[1])
+    catalog.queries()["parents_done"](spark, SF)
+    assert seen == [base.table(spark, SF, "documents").count()]
+
+
+def test_merge_expanded_of_the_whole_inventory(spark):
+    want = []
+    for (i,) in base.table(spark, SF, "documents").select("doc_id").collect():
+        want += [f"p{i}#row-0"] if i % 4 == 0 else [f"p{i}", f"p{i}#row-1"]
+    assert [r["path"] for r in catalog.queries()["merge_expanded_whole"](spark, SF).collect()] == sorted(want)
