@@ -17,8 +17,8 @@ Then, in each bucket that still holds more than one class, all members of differ
 compared exactly, whatever was estimated. Classes are the connected components of all links.
 
 Copies (equal words in the same order) are collapsed first. Defined results: null and empty texts
-and texts without words are like nothing, each is a class of its own; a text of fewer than five
-words is one shingle; a null id counts as an id above all others; repeated rows are in one class;
+are like nothing, each is a class of its own; a text without words is like its exact copies only; a
+text of fewer than five words is one shingle; a null id counts as an id above all others; repeated rows are in one class;
 an empty table gives no rows.
 """
 
@@ -157,7 +157,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, size = [], 0
         for i, text in enumerate(texts := b["__text"].to_pylist()):
             sym, _ = normalise(text)
-            node.append(hashlib.blake2b(sym.tobytes(), digest_size=16).digest() if len(sym) else None)
+            if len(sym):
+                node.append(hashlib.blake2b(sym.tobytes(), digest_size=16).digest())
+            else:
+                node.append(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16, person=b"text").digest() if text else None)
             sets.append(shingles(sym))
             size += len(sets[-1][0])
             if size > UNITS or i == len(texts) - 1:
@@ -318,7 +321,7 @@ def components(links: DataFrame, most: int | None = None) -> DataFrame:
 
 
 def signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __sum, node, bands, sig) of each row; __sum is a hash of the text, node one of its words, null if there are none."""
+    """(__id, __sum, node, bands, sig) of each row; __sum is a hash of the text, node one of its words, or of the text if it has none; null if it is empty."""
     C.prepare(df.sparkSession)
     src = df.select(F.col(id_col).alias("__id"), text_sum(text_col).alias("__sum"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     schema = T.StructType([src.schema["__id"], src.schema["__sum"], T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())])

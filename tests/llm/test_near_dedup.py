@@ -153,3 +153,10 @@ def test_blocks_of_a_bucket_meet(spark, monkeypatch):
     rows = [(i, " ".join(changed(r, base, 0.018))) for i in range(60)]
     monkeypatch.setattr(N, "BLOCK_UNITS", 4000)
     assert classes_of(spark, rows) == truth(rows)
+
+
+def test_copies_without_words(spark):
+    rows = [(1, "!!! ***"), (2, "!!! ***"), (3, "***"), (4, "!!! ***"), (5, ""), (6, ""), (7, "one two")]
+    assert classes_of(spark, rows) == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 6, 7: 7}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in N.drop_near_duplicates(df).collect()) == [1, 3, 5, 6, 7]
