@@ -9,16 +9,19 @@ packed best-fit by decreasing length, run by run of equal lengths.
 
 The histogram has max_len entries and the plan at most that many times a constant, whatever the
 number of documents, so both may be on the driver. Pieces learn their place from their rank among
-pieces of their length: an offset per partition and length, and a count within the partition. No
+pieces of their length: an offset per writing task and length, and a count within the task. No
 shuffle carries tokens, and no piece of a hot length meets all others in one task.
 
-Defined results: a null text is an empty one, a single end id; repeated rows are packed each; an
-empty table gives no rows; columns of the input other than id and text are not read.
+Defined results: a null text is an empty one, a single end id; a very long text is encoded whole,
+in memory that grows with it alone; pieces of equal length are alike to the plan, so ties may fall
+either way; repeated rows are packed each; an empty table gives no rows; columns of the input other
+than id and text are not read, so their names may be any (pack: names that begin with __ are taken).
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -212,36 +215,25 @@ def rounded(histogram: np.ndarray, pats: np.ndarray, x: np.ndarray, max_len: int
     return np.array(rows, np.int64).reshape(-1, 6), n_seq
 
 
-def _counting(n: int):  # noqa: ANN202
-    """Add the rank of each row among the rows of its length in its file; a file's rows come in their order."""
+def _ranking(n: int, kept: list[str]):  # noqa: ANN202
+    """Add a name of this attempt of this task, and each row's rank among the attempt's rows of its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, seen = None, np.zeros(n, np.int64)
+        name, seen = uuid.uuid4().hex, np.zeros(n, np.int64)
         for b in batches:
             lengths = b["length"].to_numpy(zero_copy_only=False)
             rank = np.empty(len(lengths), np.int64)
-            names = b["__part"].to_pylist()
-            for lo, hi in runs(names):
-                if names[lo] != file:
-                    file, seen = names[lo], np.zeros(n, np.int64)
-                part = lengths[lo:hi]
-                order = np.argsort(part, kind="stable")
-                u, first, many = np.unique(part[order], return_index=True, return_counts=True)
-                rank[lo + order] = np.arange(hi - lo) - np.repeat(first, many) + np.repeat(seen[u], many)
-                seen[u] += many
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rank)], names=[*b.schema.names, "__rank"])
+            order = np.argsort(lengths, kind="stable")
+            u, first, many = np.unique(lengths[order], return_index=True, return_counts=True)
+            rank[order] = np.arange(len(lengths)) - np.repeat(first, many) + np.repeat(seen[u], many)
+            seen[u] += many
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), pa.array([name] * len(lengths), pa.string()), pa.array(rank)], names=[*kept, "__part", "__rank"])
 
     return run
 
 
-def runs(names: list) -> list[tuple[int, int]]:
-    """(first, end) of the runs of equal neighbours."""
-    at = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-    return list(zip(at, at[1:])) if names else []
-
-
 def _placing(shared, kept: list[str], starts):  # noqa: ANN001, ANN202
-    """Replace rank by the place that the plan gives it; starts: the first rank of each length in each file, or None."""
+    """Replace rank by the place that the plan gives it; starts: the first rank of each length in each part, or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = shared.value
@@ -249,9 +241,10 @@ def _placing(shared, kept: list[str], starts):  # noqa: ANN001, ANN202
         for b in batches:
             lengths, rank = (b[c].to_numpy(zero_copy_only=False) for c in ("length", "__rank"))
             if starts is not None:
-                names, rank = b["__part"].to_pylist(), rank.copy()
-                for lo, hi in runs(names):
-                    rank[lo:hi] += starts.value[names[lo]][lengths[lo:hi]]
+                part = b["__part"].dictionary_encode()
+                names, which = part.dictionary.to_pylist(), part.indices.to_numpy()
+                if names:
+                    rank = rank + np.stack([starts.value[x] for x in names])[which, lengths]
             k = np.searchsorted(key, lengths * (1 << 44) + rank, side="right") - 1
             _, first, _, seq, per, offset = rows[k].T
             nth = rank - first
@@ -261,20 +254,22 @@ def _placing(shared, kept: list[str], starts):  # noqa: ANN001, ANN202
     return run
 
 
-#: Rows of one file of pieces, which one task reads; files up to which their counts (max_len numbers each) go to the driver.
-FILE_ROWS, MAX_FILES = 50_000, 512
+#: Parts (written by a task each) up to which their counts (max_len numbers each) go to the driver.
+MAX_PARTS = 512
 
 
 def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
-    """parts (any rows with a long column length from 1 to max_len) with sequence_id and offset; columns of these names are replaced."""
+    """parts (any rows with a long column length from 1 to max_len) with sequence_id and offset; columns of these names are replaced.
+
+    Rows are ranked as they are written, by the attempt of a task that wrote them: only the files of
+    attempts that finished are read, and neither the order nor the split in which they are read matters.
+    """
     spark = parts.sparkSession
     C.prepare(spark)
     kept = [c for c in parts.columns if c not in ("sequence_id", "offset")]
-    # Written, so that a file's rows and their order stay what they are when a task runs again. A
-    # file of so few rows is one row group, and that is never read by two tasks.
-    path = C.new_path(spark, "pieces")
-    parts.select(kept).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    parts = spark.read.schema(parts.select(kept).schema).parquet(path).select("*", F.col("_metadata.file_name").alias("__part"), F.col("_metadata.row_index").alias("__row"))
+    src = parts.select(kept)
+    ranks = [T.StructField("__part", T.StringType()), T.StructField("__rank", T.LongType())]
+    parts = C.materialise(src.mapInArrow(_ranking(max_len + 1, kept), T.StructType([*src.schema.fields, *ranks])), "pieces")
     counts = C.materialise(parts.groupBy("__part", "length").agg(F.count(F.lit(1)).alias("n")), "counts", folded=True)
     histogram = np.zeros(max_len + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # max_len rows at most
@@ -283,24 +278,20 @@ def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     if not len(rows):
         return parts.select(*kept, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     shared = spark.sparkContext.broadcast((rows[np.lexsort((rows[:, 1], rows[:, 0]))], max_len))
-    files = counts.select("__part").distinct().limit(MAX_FILES + 1).count()
-    starts = None
-    if files <= MAX_FILES:
+    starts, ranked = None, parts
+    if counts.select("__part").distinct().limit(MAX_PARTS + 1).count() <= MAX_PARTS:
         first, upto = {}, np.zeros(max_len + 1, np.int64)
-        by_file = counts.groupBy("__part").agg(F.collect_list("length").alias("l"), F.collect_list("n").alias("n")).orderBy("__part")
-        for r in by_file.toLocalIterator():
+        by_part = counts.groupBy("__part").agg(F.collect_list("length").alias("l"), F.collect_list("n").alias("n")).orderBy("__part")
+        for r in by_part.toLocalIterator():
             first[r["__part"]] = upto.copy()
             upto[r["l"]] += r["n"]
         starts = spark.sparkContext.broadcast(first)
-        ranked = parts.drop("__row")
-        ranked = ranked.mapInArrow(_counting(max_len + 1), T.StructType([*ranked.schema.fields, T.StructField("__rank", T.LongType())]))
-    else:  # more files than the driver should know of: ranks by windows, each within one file or one length's files
+    else:  # more parts than the driver should know of: the first rank of each length in each part, by a window over the parts of a length
         before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-        begin = counts.select("__part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-        nth = F.row_number().over(Window.partitionBy("__part", "length").orderBy("__row"))
-        ranked = parts.withColumn("__nth", nth).join(begin, ["__part", "length"]).withColumn("__rank", (F.col("first") + F.col("__nth") - 1).cast("long")).drop("first", "__nth", "__row")
-    schema = T.StructType([*(parts.schema[c] for c in kept), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(_placing(shared, kept, starts), schema)
+        begin = counts.select("__part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+        ranked = parts.join(begin, ["__part", "length"]).withColumn("__rank", F.col("__rank") + F.col("__first")).drop("__first")
+    schema = T.StructType([*src.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.select(*kept, "__part", "__rank").mapInArrow(_placing(shared, kept, starts), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN, end_id: int = 2, with_ids: bool = False) -> DataFrame:

@@ -81,9 +81,9 @@ def rows():
     return [*enumerate(texts), (500, None), (501, ""), (502, "word " * 60_000), (0, texts[0]), (None, "no id")]
 
 
-@pytest.mark.parametrize("files", [512, 0])
-def test_pack_documents(spark, monkeypatch, files):
-    monkeypatch.setattr(P, "MAX_FILES", files)
+@pytest.mark.parametrize("most", [512, 0])
+def test_pack_documents(spark, monkeypatch, most):
+    monkeypatch.setattr(P, "MAX_PARTS", most)
     df = spark.createDataFrame(rows(), "doc_id bigint, text string").withColumn("length", P.F.lit("clash")).repartition(5)
     got = P.pack_documents(df, PATH, with_ids=True).collect()
     slow = P.encoders(PATH)[0]
@@ -105,5 +105,26 @@ def test_pack_documents(spark, monkeypatch, files):
     assert len(seqs) <= best_fit(np.bincount([n for *_, n, _ in want], minlength=1025), 1024) + 1
 
 
+@pytest.mark.parametrize("most", [512, 0])
+def test_wide_rows(spark, monkeypatch, most):
+    """Files of several row groups, each read by several tasks: every piece has a place of its own."""
+    monkeypatch.setattr(P, "MAX_PARTS", most)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(1 << 20))
+    try:
+        r = np.random.default_rng(5)
+        wide = P.F.concat(*(P.F.sha2(P.F.concat("id", P.F.lit(str(k))), 512) for k in range(32)))
+        lengths = [int(x) for x in r.integers(1, 1025, 40)] + [512] * 20
+        parts = spark.range(9000).select("id", wide.alias("wide"), P.F.get(P.F.lit(lengths), P.F.col("id").cast("int") % 60).cast("long").alias("length")).repartition(2)
+        got = P.pack(parts).select("id", "length", "sequence_id", "offset").toPandas()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    assert sorted(got["id"]) == list(range(9000))
+    got = got.sort_values(["sequence_id", "offset"])
+    before = got.groupby("sequence_id")["length"].cumsum() - got["length"]
+    assert (before == got["offset"]).all() and (got["offset"] + got["length"]).max() <= 1024
+
+
 def test_empty(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0
