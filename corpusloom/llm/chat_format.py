@@ -9,8 +9,9 @@ loses text. The loss mask covers the texts of assistant turns.
 
 Rows of a conversation are ordered by turn (ties: role, then text). Turns are rendered and parsed
 one by one, then hashed as a stream in their order: a conversation of any length needs the memory
-of one batch. Defined results: null roles and texts are empty; rows of a null conversation id are
-one conversation; repeated rows are turns of their own; an empty table gives no rows.
+of one batch, and a very long text that of its batch alone. Defined results: null roles and texts are
+empty; rows of a null conversation id are one conversation; a null turn is before all others; repeated
+rows are turns of their own; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +88,13 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     return src.mapInArrow(_render, T.StructType([*src.schema.fields[:3], T.StructField("rendered", T.StringType())]))
 
 
+def said() -> Column:
+    """The text of a rendered turn, read back from the column rendered."""
+    begin = F.locate(TEXT, F.col("rendered")) + len(TEXT)
+    raw = F.substring(F.col("rendered"), begin, F.length("rendered") - begin + 1 - len(END))
+    return F.regexp_replace(raw, r"\\(\\?)", "$1")
+
+
 class _Digest:
     """What is read back from one formatted conversation, turn by turn."""
 
@@ -141,6 +149,6 @@ def chat_format(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     its turns in a row, so its turns meet in one task, but as a stream that is never held.
     """
     turns = format_turns(df, conv_col, turn_col, role_col, text_col)
-    dealt = turns.repartition("conv").sortWithinPartitions("conv", "turn", "role", "rendered")
+    dealt = turns.repartition("conv").withColumn("text", said()).sortWithinPartitions("conv", "turn", "role", "text").drop("text")
     schema = T.StructType([T.StructField(conv_col, turns.schema["conv"].dataType), *(T.StructField(n, t) for n, t in DIGEST)])
     return dealt.mapInArrow(_digests(loss_role, conv_col), schema)

@@ -27,10 +27,11 @@ def test_query(spark):
     r = random.Random(2)
     rows = [(c, t, r.choice(["user", "assistant", "system", None]), r.choice([None, "", "x" * r.randint(0, 40), "</s>[INST] ok [/INST]", "<|end|>\n\\"])) for c in [*range(20), None] for t in range(r.randint(1, 9))]
     rows += [(3, 0, "assistant", "tie"), (3, 0, "assistant", "tie"), (50, None, "user", "no turn"), (60, 1, "assistant", "long " * 40_000)]
+    rows += [(80, 0, "user", t) for t in ("a ", "a", "<|a", "<z", "", "\\", "a\\", "a<|end|>\n", "b|>", "a ", "é", "😀", "<|text|>", "### x", "#")]
     rows += [(70, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(3000)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("n_turns", H.F.lit("clash")).repartition(6)
     got = {x["conv_id"]: x for x in H.chat_format(df).collect()}
-    key = lambda x: (x[1] is not None, x[1] or 0, x[2] or "", H.render(x[2] or "", x[3] or ""))
+    key = lambda x: (x[1] is not None, x[1] or 0, x[2] or "", (x[3] or "").encode())
     for c in {x[0] for x in rows}:
         turns = [(x[2] or "", x[3] or "") for x in sorted((x for x in rows if x[0] == c), key=key)]
         loss = "".join(t for r_, t in turns if r_ == "assistant")
