@@ -7,9 +7,10 @@ owners hold is a copied example (a manual's sample key, a test vector), one that
 holds and that looks random is a live-looking credential. Base kinds are always reported; strings
 of the extra kind are reported only if they are owner-specific.
 
-Defined results: a null text is an empty text, a null owner or repository is ''. Repeated rows give
-repeated results. An empty table gives no rows. Columns of the input other than those named are
-not read, so clashing names do not matter.
+Defined results: a null text is an empty text, a null owner or repository is ''. A text is scanned whole,
+in time and memory that grow with its length. Matches that begin at the same place are in the order
+of KINDS. Repeated rows give repeated results. An empty table gives no rows. Columns of the input
+other than those named are not read, so clashing names do not matter.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +36,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 STRING = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 #: A random-looking string: so many digits and letters, and bits of entropy per character, at least.
 MIN_DIGITS, MIN_LETTERS, MIN_ENTROPY = 3, 3, 3.2
+#: Rows of one hash that may meet in a task; hashes beyond that, the most frequent ones, that are broadcast (60 bytes each).
+HOT, MOST = 500, 200_000
 
 
 def entropy(value: str) -> float:
@@ -62,9 +66,11 @@ def base_matches(text: str) -> list[tuple[int, int, int, str]]:
 
 def extra_matches(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Random-looking strings that overlap no base match."""
-    out = []
+    out, k, upto = [], 0, 0
     for m in STRING.finditer(text):
-        if looks_random(m[0]) and not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+        while k < len(base) and base[k][0] < m.end():
+            upto, k = max(upto, base[k][2]), k + 1
+        if upto <= m.start() and looks_random(m[0]):  # none that begins before its end goes beyond its start
             out.append((m.start(), 3, m.end(), m[0]))
     return out
 
@@ -78,23 +84,27 @@ _ARROW = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int6
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task, n_rows = uuid.uuid4().hex, 0
     for b in batches:
         rows = []
-        for rid, owner, repo, text in zip(b["__id"], b["__owner"].to_pylist(), b["__repo"].to_pylist(), b["__text"].to_pylist()):
+        for text in b["__text"].to_pylist():
             base = base_matches(text)
             found = sorted(base + extra_matches(text, base))
             n = Counter(k for _, k, _, _ in base)
             said = spans_text(base)
-            key = hashlib.sha256("\x1f".join((str(rid), owner, repo, text)).encode("utf-8", "surrogatepass")).hexdigest() if found else ""
+            n_rows += 1
             cands = [{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()[:32], "random": looks_random(v)} for s, k, e, v in found]
-            rows.append((n[0], n[1], n[2], hashlib.sha256(said.encode()).hexdigest(), key, cands))
+            rows.append((n[0], n[1], n[2], hashlib.sha256(said.encode()).hexdigest(), f"{task}:{n_rows}", cands))
         cols = list(zip(*rows)) if rows else [[]] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(_ARROW))
         yield pa.RecordBatch.from_arrays([b["__id"], b["__owner"], b["__repo"], *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["__id", "__owner", "__repo", "n_assign", "n_access", "n_hex", "base_sha256", "row_key", "cands"])
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: Column | str = "source", repo: Column | str = "source") -> DataFrame:
-    """One row per input row: counts and digest of the base kinds and all candidates, without the text."""
+    """One row per input row: counts and digest of the base kinds and all candidates, without the text.
+
+    row_key names the row, other rows with equal contents have others; it stays only if the result is written.
+    """
     C.prepare(df.sparkSession)
     text = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
     src = df.select(F.col(id_col).alias("__id"), text(owner).alias("__owner"), text(repo).alias("__repo"), text(text_col).alias("__text"))
@@ -103,14 +113,27 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repos) of all candidates.
+    """(hash, n_owners, n_repos, n) of all candidates; n counts them.
 
     Three aggregations, each combined before its shuffle, so a hash that a third of all rows hold
     sends a row per task, not a row per holder.
     """
-    held = found.select("__owner", "__repo", F.explode("cands.hash").alias("hash")).distinct()
-    per_owner = held.groupBy("hash", "__owner").agg(F.count(F.lit(1)).alias("repos"))
-    return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
+    held = found.select("__owner", "__repo", F.explode("cands.hash").alias("hash")).groupBy("hash", "__owner", "__repo").agg(F.count(F.lit(1)).alias("n"))
+    per_owner = held.groupBy("hash", "__owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
+    return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("n").alias("n"))
+
+
+def with_ownership(some: DataFrame, owned: DataFrame) -> DataFrame:
+    """The rows of some, each with what owned says of its hash.
+
+    The most frequent hashes are broadcast, MOST at most, and their rows are not shuffled. Any other
+    hash has HOT rows at most, or a share of all rows below one in MOST: they meet in a join.
+    """
+    owned = C.materialise(owned, "owned")
+    hot = C.materialise(owned.filter(F.col("n") > HOT).orderBy(F.desc("n"), "hash").limit(MOST), "hot")
+    met = some.join(F.broadcast(hot), "hash", "left")
+    rare = met.filter(F.col("n").isNull()).select(some.columns)
+    return met.filter(F.col("n").isNotNull()).unionByName(rare.join(owned.join(F.broadcast(hot.select("hash")), "hash", "left_anti"), "hash"))
 
 
 def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: Column | str = "source", repo: Column | str = "source", max_owners: int = 1, max_repos: int = 3) -> DataFrame:
@@ -125,11 +148,9 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     some = found.filter(F.size("cands") > 0).select(*base, "row_key", F.explode("cands").alias("c"))
     own = F.col("n_owners") <= max_owners
     own &= F.col("n_repos") <= max_repos
-    seen = some.withColumn("hash", F.col("c.hash")).join(ownership(found), "hash")
+    seen = with_ownership(some.withColumn("hash", F.col("c.hash")), ownership(found))
     seen = seen.select(*base, "row_key", F.struct("c.start", "c.kind", "c.end", own.alias("own"), F.col("c.random").alias("random")).alias("c"))
-    # A repeated row gives each of its candidates as often; no two candidates of a text are equal.
-    rows = seen.groupBy("row_key", *base).agg(F.sort_array(F.collect_list("c")).alias("all")).withColumn("one", F.array_distinct("all"))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.size("all") / F.size("one")).cast("int"))))
+    rows = seen.groupBy("row_key", *base).agg(F.sort_array(F.collect_list("c")).alias("one"))  # the candidates of one row
     names = F.array(*map(F.lit, KINDS))
 
     def joined(keep) -> Column:  # noqa: ANN001

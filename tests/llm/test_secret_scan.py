@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import secret_scan as S
@@ -56,8 +59,6 @@ def test_ownership_separates_copies(spark):
 
 
 def test_random_texts(spark):
-    import random
-
     r = random.Random(5)
     parts = ["password", "PassWd", "secret", "token", "api_key", "apikey", '"', "'", " ", ":", "=", "abcdefgh", "AKIA", "A1B2C3D4E5F6", "0af9" * 8, "é", "x" * 9, "\n", "-"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(500)]
@@ -65,5 +66,40 @@ def test_random_texts(spark):
         assert [(s, k, e) for s, k, e, _ in S.base_matches(t)] == [(s, k, e) for s, k, _, e in brute_base(t)], t
 
 
+@pytest.mark.parametrize("most", [200_000, 2, 0])
+def test_ownership_equals_brute_force(spark, monkeypatch, most):
+    """Counts by distinct owners and repositories of all candidates, one of which a third of all rows hold; and repeated rows."""
+    monkeypatch.setattr(S, "HOT", 20)
+    monkeypatch.setattr(S, "MOST", most)
+    r = random.Random(8)
+    values = ["".join(r.choice("abcdefgh0123456789XYZ") for _ in range(24)) for _ in range(30)]
+    rows = [(i, r.choice("abc"), r.choice(["en", "fr", None]), " ; ".join([values[0]] * (i % 3 == 0) + r.sample(values, r.randint(0, 3)) + [f"token={r.choice(values)}"] * (i % 4 == 0))) for i in range(400)]
+    rows += [rows[0]] * 30
+    repo = F.concat_ws("/", "source", "lang")
+    got = S.secret_scan(spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string"), repo=repo).collect()
+    found = []
+    for i, owner, lang, text in rows:
+        base = S.base_matches(text)
+        strings = [(m.start(), 3, m.end(), m[0]) for m in S.STRING.finditer(text) if S.looks_random(m[0]) and not any(a < m.end() and m.start() < z for a, _, z, _ in base)]
+        found.append((i, owner, f"{owner}/{lang}" if lang else owner, sorted(base + strings)))
+    owners, repos = {}, {}
+    for _, owner, at, spans in found:
+        for *_, v in spans:
+            owners.setdefault(v, set()).add(owner)
+            repos.setdefault(v, set()).add((owner, at))
+    own = lambda v: len(owners[v]) <= 1 and len(repos[v]) <= 3
+    text = lambda spans: ",".join(f"{S.KINDS[k]}:{a}:{z}" for a, k, z, _ in spans)
+    want = sorted((i, text([x for x in spans if x[1] < 3 or own(x[3])]), sum(own(x[3]) and S.looks_random(x[3]) for x in spans), sum(not own(x[3]) for x in spans)) for i, _, _, spans in found)
+    assert sorted((x["doc_id"], x["spans"], x["n_live"], x["n_copied"]) for x in got) == want
+
+
+def test_long_texts_are_linear():
+    text = " ".join(f"{'0af9' * 8} x{i:07d}{'qwertzuiopASDFG'} password=verylongvalue{i}" for i in range(20_000))
+    begin = time.process_time()
+    base = S.base_matches(text)
+    assert len(base) == 40_000 and len(S.extra_matches(text, base)) > 10_000
+    assert time.process_time() - begin < 10
+
+
 def test_empty(spark):
     assert S.secret_scan(spark.createDataFrame([], "doc_id bigint, source string, text string")).count() == 0
