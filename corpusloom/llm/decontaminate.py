@@ -8,18 +8,24 @@ counted in diagonal bands of 2 (e + 1), which overlap by half: any e + 1 diagona
 them. Bands that reach the bound are verified by an alignment confined to their diagonals.
 
 The index of an item set is bounded: items go to the executors in blocks of at most max_symbols
-symbols (a benchmark of any size is a stated query set that is run against all rows, block by
-block). A text is processed whole and by itself, so nothing is shuffled.
+symbols (a benchmark of any size is a stated query set that is run against all rows). Texts are read
+once: each batch is prepared once and meets the blocks one after the other, of which a worker holds
+one at a time. A text is processed whole and by itself, so nothing is shuffled.
 
 Defined results: a null or empty text or item matches nothing; an item too short for e edits gets
 the largest budget at which the lemma still bounds (an item of fewer than q symbols can't be found
-by q-grams and is searched for literally, as whole words); repeated rows and items give repeated
-results; empty tables give no rows.
+by q-grams and is searched for literally, as whole words); of overlapping alignments of an item the
+one of fewest edits stays (ties: the first); repeated rows and items give repeated results; a very
+long text takes time and memory in proportion to its length and its matches; empty tables give no
+rows. Columns that are not named are not read by find_regions, and kept by clean, whatever their
+names; if the ids of texts and items have one name, the item's column is called item_<name>.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +39,8 @@ from corpusloom.llm import _common as C
 Q = 8
 ERROR = 0.1
 BLOOM_BITS = 21
+#: Shared q-grams of a text and a block that are held at a time.
+HITS = 2_000_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +84,19 @@ def budget(m: int, q: int = Q, error: float = ERROR) -> tuple[int, int]:
     return e, max(1, m + 1 - q * (e + 1))
 
 
+class Text:
+    """A text as symbols, with what every block of items asks of it."""
+
+    def __init__(self, text: str, q: int = Q) -> None:
+        self.q = q
+        self.sym, self.at = normalise(text)
+        self.hashes = hashes(self.sym, q)
+
+    @cached_property
+    def padded(self) -> str:
+        return " " + "".join(map(chr, self.sym)) + " "
+
+
 class Index:
     """The q-grams of a block of items."""
 
@@ -92,6 +113,7 @@ class Index:
         self.size = sizes
         self.edits, self.least = (np.array(x, np.int64) for x in (zip(*(budget(int(m), q, error) for m in sizes)) if len(sizes) else ((), ())))
         self.most = int(sizes.max()) if len(sizes) else 0
+        self.reach = self.most + int(self.edits.max(initial=0)) + q
         h = np.concatenate([hashes(s, q) for s in self.sym]) if self.sym else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(self.sym)), np.maximum(sizes - q + 1, 0))
         pos = np.concatenate([np.arange(len(s) - q + 1) for s in self.sym]) if self.sym else np.empty(0, np.int64)
@@ -101,9 +123,8 @@ class Index:
         self.bloom = np.zeros(1 << BLOOM_BITS, bool)
         self.bloom[self.key >> np.uint64(64 - BLOOM_BITS)] = True
 
-    def bands(self, sym: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, first diagonal, last diagonal, shared) of runs of bands that reach the bound."""
-        h = hashes(sym, self.q)
+    def bands(self, h: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item, first diagonal, last diagonal, shared) of runs of bands that reach the bound, for a text's q-gram hashes."""
         at = np.flatnonzero(self.bloom[h >> np.uint64(64 - BLOOM_BITS)]) if len(h) and len(self.key) else np.empty(0, np.int64)
         if not len(at):
             return []
@@ -114,50 +135,58 @@ class Index:
         at, k = at[ok], k[ok]
         if len(at) < int(self.least.min()):
             return []
+        ends = np.cumsum(self.count[k])
+        found: list[tuple[int, int]] = []
+        lo = 0
+        while lo < len(at):  # texts and items that repeat themselves share many q-grams: so many are held at a time
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + HITS, side="right"))
+            hi = max(hi, int(np.searchsorted(at, at[lo] + 2 * self.reach)))
+            found += self._good(at[lo:hi], k[lo:hi])
+            if hi == len(at):
+                break
+            # a region has less than `reach` symbols: it lies within one of the stretches
+            lo = int(np.searchsorted(at, at[hi] - self.reach))
+        out: list[tuple[int, int, int, int]] = []
+        for band, shared in sorted(found):  # neighbouring bands are one region
+            i, c = band >> 40, band & ((1 << 40) - 1)
+            w = int(self.edits[i]) + 1
+            lo, hi = c * w - self.most, (c + 2) * w - 1 - self.most
+            if out and out[-1][0] == i and lo <= out[-1][2] + 1:
+                out[-1] = (i, out[-1][1], max(out[-1][2], hi), max(out[-1][3], shared))
+            else:
+                out.append((i, lo, hi, shared))
+        return out
+
+    def _good(self, at: np.ndarray, k: np.ndarray) -> list[tuple[int, int]]:
+        """(band, shared) of the bands (item << 40 | number) that reach the bound; q-gram k[i] is at place at[i] of the text."""
         n = self.count[k]
         ends = np.cumsum(n)
-        if not len(ends):
-            return []
         into = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(self.first[k], n)
         item = self.item[into]
-        step = self.edits[item] + 1
-        chunk = (np.repeat(at, n) - self.pos[into] + self.most) // step
-        key, shared = np.unique(item * np.int64(1 << 40) + chunk, return_counts=True)
+        band = item * np.int64(1 << 40) + (np.repeat(at, n) - self.pos[into] + self.most) // (self.edits[item] + 1)
+        order = np.argsort(band, kind="stable")  # the hits of a band, and those of its neighbour, follow each other
+        place = self.pos[into][order]
+        key, begin, shared = np.unique(band[order], return_index=True, return_counts=True)
         pair = shared.copy()
         near = np.flatnonzero(key[1:] == key[:-1] + 1)
         pair[near] += shared[near + 1]
-        item = key >> np.int64(40)
-        good = np.flatnonzero(pair >= self.least[item])
-        out: list[tuple[int, int, int, int]] = []
-        if len(good):
-            place, whose = self.pos[into], self.item[into]
-        for g in good:  # neighbouring bands are one region
-            i, c = int(item[g]), int(key[g] & ((1 << 40) - 1))
-            w = int(self.edits[i]) + 1
-            # a q-gram of the item counts once, however often the text has it on these diagonals
-            mine = (whose == i) & (chunk >= c) & (chunk <= c + 1)
-            if len(np.unique(place[mine])) < self.least[i]:
-                continue
-            lo, hi = c * w - self.most, (c + 2) * w - 1 - self.most
-            if out and out[-1][0] == i and lo <= out[-1][2] + 1:
-                out[-1] = (i, out[-1][1], hi, max(out[-1][3], int(pair[g])))
-            else:
-                out.append((i, lo, hi, int(pair[g])))
-        return out
+        least = self.least[key >> np.int64(40)]
+        # a q-gram of the item counts once, however often the text has it on these diagonals
+        return [(int(key[g]), int(pair[g])) for g in np.flatnonzero(pair >= least) if len(np.unique(place[begin[g] : begin[g] + pair[g]])) >= least[g]]
 
-    def find(self, text: str) -> list[tuple]:
+    def find(self, text: str | Text) -> list[tuple]:
         """(item id, start, end, edits, shared q-grams) of all regions of a text, places in code points."""
-        sym, at = normalise(text)
+        t = text if isinstance(text, Text) else Text(text, self.q)
         out = []
-        for i, lo, hi, shared in self.bands(sym):
-            for a, b, d in align(self.sym[i], sym, lo, hi, int(self.edits[i])):
-                out.append((self.ids[i], int(at[a]), int(at[b - 1]) + 1, d, shared))
+        for i, lo, hi, shared in self.bands(t.hashes):
+            for a, b, d in align(self.sym[i], t.sym, lo, hi, int(self.edits[i])):
+                out.append((self.ids[i], int(t.at[a]), int(t.at[b - 1]) + 1, d, shared))
         for item_id, s in self.short:
-            hay, needle = " " + "".join(map(chr, sym)) + " ", " " + "".join(map(chr, s)) + " "
-            k = hay.find(needle)
+            needle = " " + "".join(map(chr, s)) + " "
+            k = t.padded.find(needle)
             while k >= 0:
-                out.append((item_id, int(at[k]), int(at[k + len(s) - 1]) + 1, 0, 0))
-                k = hay.find(needle, k + 1)
+                out.append((item_id, int(t.at[k]), int(t.at[k + len(s) - 1]) + 1, 0, 0))
+                k = t.padded.find(needle, k + 1)
         return out
 
 
@@ -207,9 +236,10 @@ def align(item: np.ndarray, sym: np.ndarray, lo: int, hi: int, most: int) -> lis
     hits = np.flatnonzero(cost <= most)
     for j in hits[np.lexsort((end[hits], cost[hits]))]:
         a, z = int(begin[j]), int(end[j])
-        if z > a and all(z <= x or a >= y for x, y, _ in found):
-            found.append((a, z, int(cost[j])))
-    return sorted(found)
+        k = bisect(found, (a, z, 0))  # found is in order and free of overlaps: only two neighbours can touch
+        if z > a and (k == 0 or found[k - 1][1] <= a) and (k == len(found) or found[k][0] >= z):
+            found.insert(k, (a, z, int(cost[j])))
+    return found
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str, max_symbols: int) -> Iterator[list[tuple]]:
@@ -231,47 +261,60 @@ def find_regions(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     Columns: id_col, item_id, region_start, region_end, edits, shared_qgrams.
     """
-    C.prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    C.prepare(spark)
     src = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    kind = items.schema[item_id].dataType
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_id, kind), *(T.StructField(c, T.LongType()) for c in ("region_start", "region_end", "edits", "shared_qgrams"))])
-    out = None
-    for block in blocks(items, item_id, item_text, max_symbols):
-        index = docs.sparkSession.sparkContext.broadcast(Index(block, q, error))
-        part = src.mapInArrow(_finder(index, id_col, item_id), schema)
-        out = part if out is None else out.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
-
+    named = item_id if item_id != id_col else f"item_{item_id}"
+    kinds = [(id_col, docs.schema[id_col].dataType), (named, items.schema[item_id].dataType), *((c, T.LongType()) for c in ("region_start", "region_end", "edits", "shared_qgrams"))]
+    schema = T.StructType([T.StructField(*k) for k in kinds])
+    indexes = [spark.sparkContext.broadcast(Index(block, q, error)) for block in blocks(items, item_id, item_text, max_symbols)]
+    if not indexes:
+        return spark.createDataFrame([], schema)
 
-def _finder(index, id_col: str, item_id: str):  # noqa: ANN001, ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
         for b in batches:
-            take, rows = [], []
-            for k, text in enumerate(b["__text"].to_pylist()):
-                for r in ix.find(text):
-                    take.append(k)
-                    rows.append(r)
-            if rows:
-                ids = b["__id"].take(pa.array(take))
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in zip(*rows))], names=[id_col, item_id, "region_start", "region_end", "edits", "shared_qgrams"])
+            texts = prepared(b["__text"].to_pylist(), q, len(indexes))
+            for ix in one_by_one(indexes):
+                take, rows = [], []
+                for k, text in enumerate(texts):
+                    for r in ix.find(text):
+                        take.append(k)
+                        rows.append(r)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([b["__id"].take(pa.array(take)), *(pa.array(c) for c in zip(*rows))], names=[k for k, _ in kinds])
+
+    return src.mapInArrow(run, schema)
 
-    return run
+
+def prepared(texts: list[str | None], q: int, passes: int) -> Iterable[Text]:
+    """The texts of a batch; they are held only if there are several passes over them."""
+    out = (Text(t or "", q) for t in texts)
+    return list(out) if passes > 1 else out
+
+
+def one_by_one(indexes: list) -> Iterator[Index]:
+    """The values of broadcasts; of several, a worker keeps one at a time and reads the next from its local copy."""
+    for x in indexes:
+        yield x.value
+        if len(indexes) > 1:
+            x.__dict__.pop("_value", None)
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = Q, error: float = ERROR, max_symbols: int = 4_000_000) -> DataFrame:
     """The documents that hold no item, with all their columns. Row by row: nothing is shuffled."""
     spark = docs.sparkSession
     C.prepare(spark)
-    names = docs.columns
-    at, schema, out = names.index(text_col), docs.schema, docs
-    for block in blocks(items, item_id, item_text, max_symbols):
-        index = spark.sparkContext.broadcast(Index(block, q, error))
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            ix = index.value
-            for b in batches:
-                yield b.filter(pa.array([not ix.find(t or "") for t in b.column(at).to_pylist()], pa.bool_()))
-
-        out = out.mapInArrow(run, schema)
-    return out
+    at = docs.columns.index(text_col)
+    indexes = [spark.sparkContext.broadcast(Index(block, q, error)) for block in blocks(items, item_id, item_text, max_symbols)]
+    if not indexes:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, good = prepared(b.column(at).to_pylist(), q, len(indexes)), np.ones(len(b), bool)
+            for ix in one_by_one(indexes):
+                for k, text in enumerate(texts):
+                    good[k] = good[k] and not ix.find(text)
+            yield b.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

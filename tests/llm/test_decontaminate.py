@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 
@@ -45,6 +46,50 @@ def test_equals_brute_force():
         assert got == want, k
 
 
+def levenshtein(a, b):
+    prev = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        cur = [i]
+        for j, y in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (x != y)))
+        prev = cur
+    return prev[-1]
+
+
+def test_places_and_edits_equal_brute_force():
+    """A region's edits are the distance of its own text; the best region is the best of all stretches; regions don't overlap."""
+    r = random.Random(12)
+    for k in range(40):
+        item = prose(r, r.randint(8, 20))
+        parts = [prose(r, 15)] + [p for _ in range(r.randint(1, 3)) for p in (edited(r, item, r.randint(0, 5)), prose(r, 10))]
+        text = " ".join(parts)
+        hits = D.Index([(1, item)]).find(text)
+        assert hits and all(levenshtein(norm(item), norm(text[a:z])) == d for _, a, z, d, _ in hits), k
+        assert min(d for *_, d, _ in hits) == distance(norm(item), norm(text)), k
+        spans = sorted((a, z) for _, a, z, *_ in hits)
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_long_texts_are_linear():
+    r = random.Random(6)
+    item = prose(r, 25)
+    for text in (" ".join(f"{item} w{k}" for k in range(8_000)), " ".join(f"{item} {prose(r, 12)}" for _ in range(4_000)), "a" * 300_000, "the of and " * 30_000):
+        begin = time.process_time()
+        D.Index([(1, item), (2, "the of and " * 20), (3, "a" * 200)]).find(text)
+        assert time.process_time() - begin < 30
+
+
+def test_stretches_find_what_the_whole_finds(monkeypatch):
+    r = random.Random(13)
+    items = [(i, prose(r, r.randint(5, 40))) for i in range(6)] + [(9, "ab " * 30)]
+    texts = [" ".join(edited(r, r.choice(items)[1], r.randint(0, 4)) if r.random() < 0.5 else prose(r, 20) for _ in range(30)) for _ in range(20)]
+    whole = [sorted(D.Index(items).find(t)) for t in texts]
+    assert sum(map(len, whole)) > 100
+    for hits in (1, 50, 400):
+        monkeypatch.setattr(D, "HITS", hits)
+        assert [sorted(D.Index(items).find(t)) for t in texts] == whole
+
+
 def test_lemma_bound():
     for m in range(8, 400):
         e, least = D.budget(m)
@@ -78,6 +123,10 @@ def test_frames(spark):
     assert whole == {(i, i % 6) for i in range(0, 30, 3)}
     blocks = D.find_regions(d.drop("item_id"), b, max_symbols=150)
     assert {(x["doc_id"], x["item_id"]) for x in blocks.collect()} == whole
+    few = D.clean(d, b, max_symbols=150)
+    assert sorted(x["doc_id"] for x in few.collect()) == sorted(x["doc_id"] for x in D.clean(d, b).collect())
+    same = D.find_regions(d.select("doc_id", "text"), b.withColumnRenamed("item_id", "doc_id"), item_id="doc_id")
+    assert same.columns[:2] == ["doc_id", "item_doc_id"] and {(x[0], x[1]) for x in same.collect()} == whole
     kept = D.clean(d, b)
     assert kept.columns == d.columns and sorted(x["doc_id"] for x in kept.collect()) == sorted(i for i, *_ in docs if i % 3 or i > 29)
     assert D.find_regions(d.limit(0), b).count() == 0 and D.find_regions(d, b.limit(0)).count() == 0 and D.clean(d, b.limit(0)).count() == len(docs)
