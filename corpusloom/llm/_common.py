@@ -10,11 +10,15 @@ from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch that goes to a Python worker; bounds a worker's memory.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+#: Keys that may be broadcast with a few numbers each.
+HOT_KEYS = 200_000
 
 _written: list[tuple[SparkSession, str]] = []
+atexit.register(lambda: release())
 
 
 def prepare(spark: SparkSession) -> None:
@@ -47,8 +51,6 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared folder; it is removed when this process ends, or by release()."""
     path = f"{shared_dir(spark)}/corpusloom/{what}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(release)
     _written.append((spark, path))
     return path
 
@@ -71,6 +73,28 @@ def materialise(df: DataFrame, what: str, folded: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hottest(counts: DataFrame, n: str, above: int) -> DataFrame:
+    """The rows of counts (one per key) with the largest n, of those above the bound: HOT_KEYS at most, so they may be broadcast.
+
+    Any other key has n rows up to the bound, or less than one in HOT_KEYS of all rows.
+    """
+    key = [c for c in counts.columns if c != n]
+    return materialise(counts.filter(F.col(n) > above).orderBy(F.desc(n), *key).limit(HOT_KEYS), "hottest", folded=True)
+
+
+def join_counted(df: DataFrame, counts: DataFrame, key: str, n: str, above: int) -> DataFrame:
+    """df with the columns of counts, written tables of which counts has one row per key and how many rows of df have it (n).
+
+    Few keys are broadcast all; else those of the most rows are, and no task gets more than `above` rows of another.
+    """
+    if counts.limit(HOT_KEYS + 1).count() <= HOT_KEYS:
+        return df.join(F.broadcast(counts), key)
+    hot = hottest(counts, n, above)
+    met = df.join(F.broadcast(hot), key, "left")
+    rest = met.filter(F.col(n).isNull()).select(df.columns).join(counts.join(F.broadcast(hot.select(key)), key, "left_anti"), key)
+    return met.filter(F.col(n).isNotNull()).unionByName(rest)
+
+
 def release() -> None:
     """Remove the tables of materialise(). Results that still read them must have been written before."""
     while _written:

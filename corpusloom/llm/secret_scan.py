@@ -36,8 +36,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 STRING = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 #: A random-looking string: so many digits and letters, and bits of entropy per character, at least.
 MIN_DIGITS, MIN_LETTERS, MIN_ENTROPY = 3, 3, 3.2
-#: Rows of one hash that may meet in a task; hashes beyond that, the most frequent ones, that are broadcast (60 bytes each).
-HOT, MOST = 500, 200_000
+#: Rows of one hash that may meet in a task.
+HOT = 500
 
 
 def entropy(value: str) -> float:
@@ -123,19 +123,6 @@ def ownership(found: DataFrame) -> DataFrame:
     return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("n").alias("n"))
 
 
-def with_ownership(some: DataFrame, owned: DataFrame) -> DataFrame:
-    """The rows of some, each with what owned says of its hash.
-
-    The most frequent hashes are broadcast, MOST at most, and their rows are not shuffled. Any other
-    hash has HOT rows at most, or a share of all rows below one in MOST: they meet in a join.
-    """
-    owned = C.materialise(owned, "owned")
-    hot = C.materialise(owned.filter(F.col("n") > HOT).orderBy(F.desc("n"), "hash").limit(MOST), "hot")
-    met = some.join(F.broadcast(hot), "hash", "left")
-    rare = met.filter(F.col("n").isNull()).select(some.columns)
-    return met.filter(F.col("n").isNotNull()).unionByName(rare.join(owned.join(F.broadcast(hot.select("hash")), "hash", "left_anti"), "hash"))
-
-
 def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: Column | str = "source", repo: Column | str = "source", max_owners: int = 1, max_repos: int = 3) -> DataFrame:
     """One row per input row: id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, live_spans.
 
@@ -148,7 +135,7 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     some = found.filter(F.size("cands") > 0).select(*base, "row_key", F.explode("cands").alias("c"))
     own = F.col("n_owners") <= max_owners
     own &= F.col("n_repos") <= max_repos
-    seen = with_ownership(some.withColumn("hash", F.col("c.hash")), ownership(found))
+    seen = C.join_counted(some.withColumn("hash", F.col("c.hash")), C.materialise(ownership(found), "owned"), "hash", "n", HOT)
     seen = seen.select(*base, "row_key", F.struct("c.start", "c.kind", "c.end", own.alias("own"), F.col("c.random").alias("random")).alias("c"))
     rows = seen.groupBy("row_key", *base).agg(F.sort_array(F.collect_list("c")).alias("one"))  # the candidates of one row
     names = F.array(*map(F.lit, KINDS))

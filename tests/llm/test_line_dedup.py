@@ -48,9 +48,23 @@ def test_equals_brute_force(spark):
 
 def test_both_joins_agree(spark, monkeypatch):
     df = spark.createDataFrame(rows(), "doc_id bigint, source string, text string")
-    a = sorted(map(str, L.dedup_lines(df).collect()))
-    monkeypatch.setattr(L, "BROADCAST_LINES", 0)
-    assert sorted(map(str, L.dedup_lines(df).collect())) == a
+    a = sorted(map(str, L.dedup_lines(df, counts=True).collect()))
+    for name, value in (("SLOT_LINES", 1), ("BROADCAST_LINES", 0), ("SALT_PAGES", 20), ("HOT_LINES", 1)):
+        monkeypatch.setattr(L, name, value)
+        assert sorted(map(str, L.dedup_lines(df, counts=True).collect())) == a
+    for most in (1, 0):
+        monkeypatch.setattr(L.C, "HOT_KEYS", most)
+        assert sorted(map(str, L.dedup_lines(df, counts=True).collect())) == a
+
+
+def test_clashing_names(spark):
+    names = ("n_lines", "n_dropped", "host", "row", "slots", "kept", "salt", "no", "key", "a.b")
+    df = spark.createDataFrame(rows(), "doc_id bigint, source string, text string").withColumns({c: L.F.lit(f"own {c}") for c in names})
+    out = L.dedup_lines(df)
+    assert out.columns == df.columns and {tuple(r[c] for c in names) for r in out.collect()} == {tuple(f"own {c}" for c in names)}
+    more = L.dedup_lines(df, counts=True)
+    assert more.columns == [*(c for c in df.columns if c not in ("n_lines", "n_dropped")), "n_lines", "n_dropped"]
+    assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in more.collect()), key=str) == sorted(brute(rows(), L.RATIO, L.MIN_PAGES), key=str)
 
 
 def test_empty_and_native(spark):

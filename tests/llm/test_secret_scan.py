@@ -70,7 +70,7 @@ def test_random_texts(spark):
 def test_ownership_equals_brute_force(spark, monkeypatch, most):
     """Counts by distinct owners and repositories of all candidates, one of which a third of all rows hold; and repeated rows."""
     monkeypatch.setattr(S, "HOT", 20)
-    monkeypatch.setattr(S, "MOST", most)
+    monkeypatch.setattr(S.C, "HOT_KEYS", most)
     r = random.Random(8)
     values = ["".join(r.choice("abcdefgh0123456789XYZ") for _ in range(24)) for _ in range(30)]
     rows = [(i, r.choice("abc"), r.choice(["en", "fr", None]), " ; ".join([values[0]] * (i % 3 == 0) + r.sample(values, r.randint(0, 3)) + [f"token={r.choice(values)}"] * (i % 4 == 0))) for i in range(400)]
