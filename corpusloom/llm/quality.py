@@ -7,11 +7,14 @@ from min_posterior on. So a rule that often errs weighs little, and a text need
 
 Votes are aggregated to counts of vote patterns, combined before their shuffle: there are 3 to the
 power of the number of rules at most, whatever the corpus, and the iterations run on them. Texts
-are read once to count and once to decide; nothing that grows with the corpus is shuffled.
+are measured once: rows are written with their votes, counted, and filtered as they are read again;
+nothing that grows with the corpus is shuffled.
 
 Words are runs of characters other than space and U+0009 to U+000D. Defined results: a null or
-empty text has no words and fails; repeated rows give repeated results; an empty table gives no
-rows; input columns whose names clash with those added are replaced.
+empty text has no words and fails; a posterior that equals the least one is kept; a very long text is
+measured whole, in time that grows with its length (and its logarithm, as windows are sorted); repeated
+rows give repeated results; an empty table gives no rows. keep_good keeps columns of any name; in a
+report the id column may have any name but those of the report.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ BLANKS = " \t\n\x0b\f\r"
 CAPITALS = "".join(c for c in map(chr, range(0x590)) if unicodedata.category(c) == "Lu")
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-ITERATIONS, MIN_POSTERIOR = 12, 0.5
+#: Iterations end when no estimate moves by more than the tolerance.
+ITERATIONS, TOLERANCE, MIN_POSTERIOR = 12, 1e-6, 0.5
 #: Frequent function words of English, German, French and Spanish. Fixed values.
 COMMON = ("the", "of", "and", "to", "in", "is", "that", "for", "was", "with", "der", "die", "und", "den", "von", "zu", "das", "mit", "ist", "sich", "le", "la", "les", "des", "et", "en", "un", "une", "du", "que", "el", "los", "las", "y", "por", "con", "para", "su", "al", "de")
 
@@ -126,13 +130,9 @@ def rules(m: dict[str, Column]) -> dict[str, Column]:
 
 
 def votes(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with what measure adds and the votes __v_<rule>.
-
-    A filter that also asks for __part >= 0 stays above the votes; the optimizer would else move it
-    below them, where it works the measures out once for each vote.
-    """
+    """df with what measure adds and the votes __v_<rule>."""
     df = measure(df, text_col)
-    return df.select("*", *(v.cast("int").alias(f"__v_{k}") for k, v in rules(measured()).items()), F.spark_partition_id().alias("__part"))
+    return df.select("*", *(v.cast("int").alias(f"__v_{k}") for k, v in rules(measured()).items()))
 
 
 def estimate(voted: DataFrame, iterations: int = ITERATIONS) -> tuple[float, dict[str, tuple[float, float]]]:
@@ -155,8 +155,11 @@ def estimate(voted: DataFrame, iterations: int = ITERATIONS) -> tuple[float, dic
         s = patterns.withColumn("__p", posterior(prior, says)).agg(*sums).first()
         if not s["n"]:
             break
+        was = [prior, *(x for k in names for x in says[k])]
         prior = (s["g"] + 1) / (s["n"] + 2)
         says = {k: tuple(((s[f"{a}1_{k}"] or 0) + 1) / ((s[f"{a}_{k}"] or 0) + 2) for a in "gb") for k in names}
+        if max(abs(x - y) for x, y in zip(was, [prior, *(x for k in names for x in says[k])])) < TOLERANCE:
+            break
     return prior, says
 
 
@@ -172,26 +175,31 @@ def posterior(prior: float, says: dict[str, tuple[float, float]]) -> Column:
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _judged(voted: DataFrame, min_posterior: float) -> DataFrame:
-    prior, says = estimate(voted)
+def failed() -> Column:
+    """The base rules, by what measure adds."""
     m = measured()
-    failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
-    out = voted.withColumns({**{k: m[k] for k in BASE}, "base_failed": failed, "quality": posterior(prior, says)})
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= min_posterior))
+    return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
 
 
 def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """One row per input row: id, the base measures, base_failed, quality, kept. Votes are written once, without texts."""
-    src = df.select(F.col(id_col), F.col(text_col)) if id_col != text_col else df.select(id_col)
-    voted = votes(src, text_col)
-    voted = C.materialise(voted.select(id_col, *(c for c in voted.columns if c.startswith("__"))), "measures")
-    return _judged(voted, min_posterior).select(id_col, *BASE, "base_failed", "quality", "kept")
+    voted = votes(df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")), "__text")
+    voted = C.materialise(voted.drop("__text"), "measures")
+    prior, says = estimate(voted)
+    m, quality = measured(), posterior(prior, says)
+    kept = ~F.col("base_failed") & (F.col("quality") >= min_posterior)
+    out = voted.select(F.col("__id").alias(id_col), *(m[k].alias(k) for k in BASE), failed().alias("base_failed"), quality.alias("quality"))
+    return out.withColumn("kept", kept)
 
 
 def keep_good(df: DataFrame, text_col: str = "text", min_posterior: float = MIN_POSTERIOR) -> DataFrame:
-    """The rows of df that are kept, with df's columns. Texts are measured again rather than shuffled."""
-    prior, says = estimate(votes(df.select(text_col), text_col))
-    voted = votes(df, text_col)
-    m = measured()
-    ok = (m["n_words"] >= MIN_WORDS) & (100 * m["n_repeat_words"] <= MAX_REPEAT_PERCENT * m["n_words"])
-    return voted.filter(ok & (posterior(prior, says) >= min_posterior) & (F.col("__part") >= 0)).select(df.columns)
+    """The rows of df that are kept, with df's columns.
+
+    Rows are written with their votes (those that fail the base rules without their contents), so a
+    text is measured once, and the decision needs only a scan.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    voted = votes(df.select(row.alias("__row"), F.col(f"`{text_col}`").alias("__text")), "__text")
+    voted = C.materialise(voted.select(F.when(~failed(), F.col("__row")).alias("__row"), *(c for c in voted.columns if c.startswith("__v_"))), "voted")
+    prior, says = estimate(voted)
+    return voted.filter(F.col("__row").isNotNull() & (posterior(prior, says) >= min_posterior)).select(*(F.col("__row").getField(c).alias(c) for c in df.columns))

@@ -57,6 +57,16 @@ def test_keeps_good_drops_bad(spark):
     assert Q.keep_good(df).columns == df.columns
 
 
+def test_clashing_names(spark):
+    names = ("__t", "__w", "__l", "__row", "__text", "__v_bangs", "__m_n_words", "quality", "kept", "a.b")
+    df = spark.createDataFrame(list(enumerate(texts()))[200:], "doc_id bigint, text string").withColumns({c: Q.F.lit(f"own {c}") for c in names})
+    out = Q.keep_good(df)
+    assert out.columns == df.columns and {tuple(r[c] for c in names) for r in out.collect()} == {tuple(f"own {c}" for c in names)}
+    report = Q.quality_report(df)
+    assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in report.collect() if r["kept"]}
+    assert {r["a.b"] for r in Q.quality_report(df.withColumn("a.b", Q.F.col("doc_id") + 1), "a.b").collect()} == {r["doc_id"] + 1 for r in report.collect()}
+
+
 def brute_em(votes, iterations):
     """The same model, vote by vote."""
     import math
