@@ -73,6 +73,11 @@ def materialise(df: DataFrame, what: str, folded: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, n: int) -> DataFrame:
+    """df, of n rows that are a job each, one by one over as many tasks as there is use for."""
+    return df.repartition(max(1, min(n, 4 * df.sparkSession.sparkContext.defaultParallelism)))
+
+
 def hottest(counts: DataFrame, n: str, above: int) -> DataFrame:
     """The rows of counts (one per key) with the largest n, of those above the bound: HOT_KEYS at most, so they may be broadcast.
 

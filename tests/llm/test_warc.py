@@ -32,27 +32,38 @@ def test_round_trip(spark):
 
 
 def test_without_broadcast(spark, monkeypatch):
-    df = spark.createDataFrame(rows(), "page_id bigint, url string, html string")
+    df = spark.createDataFrame(rows() + [(900 + i, "u", "y" * 2000) for i in range(60)], "page_id bigint, url string, html string")
     have = lambda: sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in W.capture_history(df).collect())
     a = have()
     monkeypatch.setattr(W, "BROADCAST_ROWS", -1)
     assert have() == a
+    monkeypatch.setattr(W, "HOT", 10)
+    assert have() == a
+
+
+def test_index_over_many_ranges_archives_and_passes(spark, monkeypatch):
+    pages = [(i, f"http://h{i * 7919 % 50}.net/{i % 3}", "p" * (i % 50)) for i in range(400)]
+    pages += [(k, "http://same.net/", "q") for k in (9, 10, 100, None, 9)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("t", W.F.lit("2024-05-06 07:08:09")).repartition(6)
+    monkeypatch.setattr(W, "BLOCK", 7)
+    want = sorted((W.url_key(u), "2024-05-06T07:08:09Z", W.NO_ID if i is None else i) for i, u, _ in pages)
+    for fan_in in (256, 4, 2):
+        folder = C.new_path(spark, "archives")
+        runs = W.write_archives(df, folder, time_col="t")
+        index = W.merged_index(runs, folder, range_entries=40, fan_in=fan_in).orderBy("range_no", "position").collect()
+        assert [(r["urlkey"], r["ts"], r["id"]) for r in index] == want and len({r["range_no"] for r in index}) > 5
 
 
-def test_index_over_many_ranges_and_archives(spark, monkeypatch):
-    df = spark.createDataFrame([(i, f"http://h{i * 7919 % 50}.net/{i % 3}", "p" * (i % 50)) for i in range(400)], "page_id bigint, url string, html string").repartition(6)
-    entries = W.write_archives(df, C.new_path(spark, "archives"))
-    index = W.merged_index(entries, range_entries=40).orderBy("range_no", "position").collect()
-    keys = [(r["urlkey"], r["ts"], r["id"]) for r in index]
-    assert len(keys) == 400 and keys == sorted(keys) and len({r["range_no"] for r in index}) > 5
+def test_ids_that_are_no_numbers(spark):
+    got = W.capture_history(spark.createDataFrame([("x", "u", "p" * 2000), ("7", "u", "p" * 2000), (None, "u", None)], "page_id string, url string, html string")).collect()
+    assert sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in got) == [("7", "response", "None"), ("None", "response", "None"), ("None", "revisit", "7")]
 
 
 def test_loser_tree_equals_heap_merge():
     r = random.Random(2)
     for k in (0, 1, 2, 3, 7, 40):
         runs = [sorted((r.randrange(20), i) for i in range(r.randint(0, 30))) for _ in range(k)]
-        assert list(W.LoserTree([list(x) for x in runs])) == list(heapq.merge(*runs))
-        assert list(W.merge_runs([list(x) for x in runs], fan_in=3)) == list(heapq.merge(*runs))
+        assert list(W.LoserTree(iter(x) for x in runs)) == list(heapq.merge(*runs))
 
 
 def test_archive_reader():
