@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Rows and bytes of one Arrow batch that goes to a Python worker; bounds a worker's memory.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 #: Keys that may be broadcast with a few numbers each.
-HOT_KEYS = 200_000
+HOT_KEYS = 50_000
 
 _written: list[tuple[SparkSession, str]] = []
 atexit.register(lambda: release())

@@ -16,10 +16,16 @@ verified links join members into classes, so a group of copies is never expanded
 Then, in each bucket that still holds more than one class, all members of different classes are
 compared exactly, whatever was estimated. Classes are the connected components of all links.
 
-Copies (equal words in the same order) are collapsed first. Defined results: null and empty texts
-are like nothing, each is a class of its own; a text without words is like its exact copies only; a
-text of fewer than five words is one shingle; a null id counts as an id above all others; repeated rows are in one class;
-an empty table gives no rows.
+A bucket, hub, class or text that a large share of all rows have is no task's alone: the most frequent
+ones are broadcast by count, all others have few rows; a hub's text is sent once to each HUB_MEMBERS of
+its members.
+
+Copies (equal words in the same order) are collapsed first. Defined results: a similarity that equals
+the threshold is a link; null and empty texts are like nothing, each is a class of its own; a text
+without words is like its exact copies only; a text of fewer than five words is one shingle; a very
+long text is signed and compared whole, in memory that grows with it alone; a null id counts as an id
+above all others; repeated rows are in one class; an empty table gives no rows; columns of any other
+names are not read, and kept by drop_near_duplicates.
 """
 
 from __future__ import annotations
@@ -46,8 +52,10 @@ ESTIMATE = 0.6
 BLOCK_UNITS = 300_000
 #: Shingles of texts that are signed together; a longer text is signed alone.
 UNITS = 100_000
-#: Rows up to which a table of ids may be broadcast: 48 bytes each.
-BROADCAST_ROWS = 200_000
+#: Rows up to which a table of ids may be broadcast: 48 bytes each. Rows of one bucket, hub, class or text that meet in a task.
+BROADCAST_ROWS, HOT = 50_000, 2_000
+#: Members that are compared with one copy of their hub's text.
+HUB_MEMBERS = 500
 #: Rows up to which a table of keys and nodes is written by few tasks: some tens of bytes each.
 FOLD_ROWS = 1_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
@@ -173,14 +181,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose texts are alike; the last side's shingles are kept for the next pair."""
-    last, have = None, None
+    """Keep the pairs whose texts are alike: a hub's row (no a) is followed by its members'."""
+    have = None
     for b in batches:
         keep = []
-        for x, hub, y in zip(b["text_a"].to_pylist(), b["b"].to_pylist(), b["text_b"].to_pylist()):
-            if hub != last:
-                last, have = hub, shingles(normalise(y)[0])
-            keep.append(similarity(shingles(normalise(x)[0]), have) >= THRESHOLD)
+        for member, text in zip(b["a"].to_pylist(), b["text"].to_pylist()):
+            mine = shingles(normalise(text)[0])
+            if member is None:
+                have = mine
+            keep.append(member is not None and similarity(mine, have) >= THRESHOLD)
         yield pa.RecordBatch.from_arrays([b["a"], b["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -266,18 +275,31 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     sigs = reps.select("node", "sig")
     rows = reps.select(F.explode("bands").alias("key"), "node")
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets, _, small = counted(rows.join(sizes, "key"), "buckets")
-    rows = buckets.join(small(buckets.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop")
-    hubs = rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
-    met, n, small = counted(rows.join(hubs, "key").filter(F.col("node") != F.col("hub")).select("node", "hub").distinct(), "met")
+    sizes = C.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
+    buckets, _, small = counted(C.join_counted(rows, sizes, "key", "n", HOT), "buckets")
+    rows = C.materialise(buckets.join(small(buckets.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop"), "popular")
+    hubs = C.materialise(rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).select("key", F.col("h.node").alias("hub"), "n"), "hubs")
+    met, n, small = counted(C.join_counted(rows, hubs, "key", "n", HOT).filter(F.col("node") != F.col("hub")).select("node", "hub").distinct(), "met")
     pairs = sigs.join(small(met), "node").withColumnRenamed("sig", "node_sig")
-    pairs = sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(pairs), "hub").select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
+    per = met.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    theirs = C.materialise(sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(per), "hub"), "hub_sigs", few(n))
+    pairs = C.join_counted(C.materialise(pairs, "met_sigs", few(n)), theirs, "hub", "n", HOT).select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
     kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("same", T.DoubleType())])
     pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing", few(n))
     return pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b")), buckets.select("key", "node")
 
 
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b), b being a hub, whose texts are alike. A hub of many members has a salt for each HUB_MEMBERS of them."""
+    hubs = C.materialise(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / HUB_MEMBERS).cast("int")), "hubs")
+    salted = C.join_counted(pairs, hubs, "b", "n", HOT).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
+    members = salted.select("a", "b", "salt").join(texts.withColumnRenamed("node", "a"), "a")
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    theirs = hubs.join(texts.withColumnRenamed("node", "b"), "b").select(F.lit(None).cast("binary").alias("a"), "b", every.alias("salt"), "text")
+    both = theirs.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
+    return C.materialise(both.select("a", "b", "text").mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
+
+
 def rest(buckets: DataFrame, labels: DataFrame, texts_of) -> DataFrame:  # noqa: ANN001
     """Links (a, b) of labels between all members of a bucket that the labels do not join yet.
 
@@ -286,14 +308,15 @@ def rest(buckets: DataFrame, labels: DataFrame, texts_of) -> DataFrame:  # noqa:
     dealt into blocks of BLOCK_UNITS shingles by a hash of the node, and each two blocks meet in a
     task's memory; only links, fewer than the members, come out.
     """
-    rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    rows, n, small = counted(rows.join(mixed, "key"), "mixed")
+    rows = C.materialise(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi").select("key", "n")
+    rows, n, small = counted(C.join_counted(rows, C.materialise(mixed, "mixed_keys"), "key", "n", HOT).drop("n"), "mixed")
     kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("units", T.BinaryType())])
     sets = C.materialise(texts_of(rows.select("node").distinct(), n).mapInArrow(_units, kind), "units")
     rows = rows.join(small(sets.select("node", (F.length("units") / 8).alias("w"))), "node")
-    blocks = rows.groupBy("key").agg(F.ceil(F.sum("w") / BLOCK_UNITS).alias("nb"))
-    rows = rows.join(small(blocks), "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("nb")))
+    rows = C.materialise(rows, "weighed", few(n))
+    blocks = C.materialise(rows.groupBy("key").agg(F.ceil(F.sum("w") / BLOCK_UNITS).alias("nb"), F.count(F.lit(1)).alias("n")), "blocks", few(n))
+    rows = C.join_counted(rows, blocks, "key", "n", HOT).withColumn("side", F.pmod(F.xxhash64("node"), F.col("nb")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
     rows = rows.select("node", "label", "side", F.struct("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")).alias("task"))
     rows = rows.select("node", "label", "side", F.xxhash64("task.key", "task.i", "task.j").alias("deal"), "task")
@@ -310,11 +333,20 @@ def components(links: DataFrame, most: int | None = None) -> DataFrame:
     """
     edges, n, small = counted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", None if most is None else 2 * most)
     labels = C.materialise(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels", few(n))
+    degrees = None if n <= BROADCAST_ROWS else C.materialise(edges.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
     while True:
-        near = edges.join(small(labels.select(F.col("node").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("l"))
-        once = labels.join(small(near.withColumnRenamed("a", "node")), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid"))
+        named = labels.select(F.col("node").alias("b"), "label")
+        if degrees is not None:  # a hub has as many edges as its class has members
+            named = C.materialise(named.join(degrees, "b"), "named")
+        met = edges.join(F.broadcast(named), "b") if degrees is None else C.join_counted(edges, named, "b", "n", HOT)
+        near = met.groupBy("a").agg(F.min("label").alias("l"))
+        once = C.materialise(labels.join(small(near.withColumnRenamed("a", "node")), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid")), "once", few(n))
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        new = C.materialise(once.join(small(jump), "mid", "left").select("node", "was", F.least("mid", "far").alias("label")), "labels", few(n))
+        if degrees is None:
+            met = once.join(F.broadcast(jump), "mid")
+        else:
+            met = C.join_counted(once, C.materialise(jump.join(once.groupBy("mid").agg(F.count(F.lit(1)).alias("n")), "mid"), "jump"), "mid", "n", HOT)
+        new = C.materialise(met.select("node", "was", F.least("mid", "far").alias("label")), "labels", few(n))
         labels = new.select("node", "label")
         if new.filter(F.col("was") != F.col("label")).isEmpty():
             return labels
@@ -353,19 +385,20 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return texts.mapInArrow(_named, kind).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
     texts = C.materialise(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs), "texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.select("a", "text_a", "b", "text_b")
-    links = C.materialise(both.mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
-    first = components(links, n_pairs)
+    first = components(compared(pairs, texts), n_pairs)
     final = components(rest(buckets, first, texts_of)).select(F.col("node").alias("first"), F.col("label").alias("final"))
-    nodes = reps.select("node", "__id", "n").join(first.withColumnRenamed("label", "first"), "node", "left").withColumn("first", F.coalesce("first", "node"))
-    nodes = nodes.join(final, "first", "left").withColumn("label", F.coalesce("final", "first"))
-    of = nodes.groupBy("label").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"))
-    known = nodes.select("node", "label").join(of, "label").select("node", F.col("c.id").alias("class_id"), "size")
-    some = all_rows.select("__id", "__sum", "node").join(known, "node", "left")
-    own = F.col("node").isNull()
-    cid = F.when(own, F.col("__id")).otherwise(F.col("class_id"))
-    return some.select(F.col("__id").alias(id_col), cid.alias("class_id"), F.coalesce("size", F.lit(1)).cast("long").alias("class_size"), F.coalesce(F.col("__id").eqNullSafe(cid), F.lit(False)).alias("kept"), "__sum")
+    # Nodes to first classes to final ones: counted on each step, as a class may hold a large share of all texts or rows.
+    nodes = C.materialise(reps.select("node", "__id", "n").join(first.withColumnRenamed("label", "first"), "node", "left").withColumn("first", F.coalesce("first", "node")), "nodes")
+    firsts = nodes.groupBy("first").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("nodes"))
+    firsts = C.materialise(firsts.join(final, "first", "left").withColumn("label", F.coalesce("final", "first")).drop("final"), "firsts")
+    found = C.materialise(firsts.groupBy("label").agg(F.min("c").alias("c"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "found")
+    named = C.join_counted(firsts.select("first", "label", "nodes"), found, "label", "n", HOT).select("first", "nodes", F.col("c.id").alias("class_id"), "size")
+    known = C.join_counted(nodes.select("node", "first", "n"), C.materialise(named, "named"), "first", "nodes", HOT).select("node", "n", "class_id", "size")
+    ids = all_rows.select("__id", "__sum", "node")
+    some = C.join_counted(ids.filter("node is not null"), C.materialise(known, "known"), "node", "n", HOT).select("__id", "__sum", "class_id", "size")
+    none = ids.filter("node is null").select("__id", "__sum", F.col("__id").alias("class_id"), F.lit(1).cast("long").alias("size"))
+    cid = F.col("class_id")
+    return some.unionByName(none).select(F.col("__id").alias(id_col), "class_id", F.col("size").cast("long").alias("class_size"), F.coalesce(F.col("__id").eqNullSafe(cid), F.lit(False)).alias("kept"), "__sum")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,8 +430,9 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     found = C.materialise(classes(df, id_col, text_col).select(text_key(id_col).alias("__k"), "__sum", "kept"), "classes")
     per = found.groupBy("__k", "__sum").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
-    keyed = df.withColumns({"__k": text_key(id_col), "__sum": text_sum(text_col)})
-    out = semi(keyed, per.filter(~F.col("k")).select("__k", "__sum"), ["__k", "__sum"], "left_anti")
-    if not per.filter("k and n > 1").isEmpty():
-        out = out.dropDuplicates(["__k", "__sum"])
-    return out.select(df.columns)
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), text_key(id_col).alias("__k"), text_sum(text_col).alias("__sum"))
+    out = semi(rows, per.filter(~F.col("k")).select("__k", "__sum"), ["__k", "__sum"], "left_anti")
+    twice = per.filter("k and n > 1").select("__k", "__sum")
+    if not twice.isEmpty():
+        out = semi(out, twice, ["__k", "__sum"], "left_anti").unionByName(semi(out, twice, ["__k", "__sum"]).dropDuplicates(["__k", "__sum"]))
+    return out.select(*(F.col("row").getField(c).alias(c) for c in df.columns))

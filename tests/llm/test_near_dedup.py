@@ -118,8 +118,24 @@ def test_null_ids(spark):
 def test_without_broadcasts(spark, monkeypatch):
     rows = fixture(9)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = truth(rows)
     monkeypatch.setattr(N, "BROADCAST_ROWS", -1)
-    assert {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()} == truth(rows)
+    assert {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()} == want
+    for name, value in (("HOT", 3), ("HUB_MEMBERS", 2)):
+        monkeypatch.setattr(N, name, value)
+    monkeypatch.setattr(N.C, "HOT_KEYS", 5)
+    assert {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()} == want
+
+
+def test_clashing_names(spark):
+    rows = fixture(3)
+    names = ("__k", "__sum", "__id", "__text", "row", "node", "class_id", "a.b")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: N.F.lit(f"own {c}") for c in names})
+    out = N.drop_near_duplicates(df.unionByName(df.limit(5)))
+    want = truth(rows)
+    got = out.collect()
+    assert out.columns == df.columns and {tuple(r[c] for c in names) for r in got} == {tuple(f"own {c}" for c in names)}
+    assert sorted(r["doc_id"] for r in got) == sorted(d for d, c in want.items() if d == c)
 
 
 def classes_of(spark, rows):
