@@ -1,15 +1,19 @@
 """Order-dependent plans: packing files into batches, admission under caps, hysteresis, chunks.
 
-A plan depends on the order of one job's files, so the fold runs over the sorted array of a job
-(aggregate over an array: in the JVM, one job per row). Bounds are per job; jobs are independent.
+What a file gets depends on all files of its job before it. A job's files meet in one task, sorted, and
+pass a few counters as a stream of Arrow batches: linear in the files, in the memory of one batch.
+Jobs are independent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.ids import batch_id
 from corpusloom.operators.dedup import numbered
@@ -45,45 +49,82 @@ class Budget:
         return cls(usable, max_batch_bytes=min(10 << 30, max(1, usable // 4)), min_free=min_free, caps={s: int(usable * f / total) for s, f in base.factors.items()})
 
 
-_STATE = "struct<n:bigint,bytes:bigint,unknown:bigint,batch:bigint,out:array<bigint>>"
+class Greedy:
+    """A batch closes before a file that would exceed its files or known bytes; a lone oversize file closes at once."""
 
+    def __init__(self, max_files: int, max_bytes: int) -> None:
+        self.max_files, self.max_bytes = max_files, max_bytes
+        self.batch = self.n = self.bytes = 0
 
-def _fold(df: DataFrame, job: str, path: str, size: str, order: list[Column | str], step) -> DataFrame:  # noqa: ANN001
-    """(job, path, size, batch_no): a fold over each job's files that numbers their batches."""
-    files = df.groupBy(job).agg(F.array_sort(F.collect_list(F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], F.col(path).alias("__path"), F.col(size).alias("__size")))).alias("f"))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("bytes"), F.lit(0).alias("unknown"), F.lit(0).alias("batch"), F.array().cast("array<bigint>").alias("out")).cast(_STATE)
-    numbers = F.aggregate("f", start, lambda s, f: step(s, f).cast(_STATE))["out"]
-    out = files.select(job, F.explode(F.arrays_zip("f", numbers.alias("b"))).alias("x"))
-    return out.select(job, F.col("x.f.__path").alias(path), F.col("x.f.__size").alias(size), F.col("x.b").alias("batch_no"))
+    def put(self, size: int | None) -> int:
+        known = size if size is not None and size >= 0 else 0
+        if self.n and (self.n >= self.max_files or known and self.bytes + known > self.max_bytes):
+            self.batch, self.n, self.bytes = self.batch + 1, 0, 0
+        at = self.batch
+        self.n, self.bytes = self.n + 1, self.bytes + known
+        if self.n == 1 and known > self.max_bytes:
+            self.batch, self.n, self.bytes = self.batch + 1, 0, 0
+        return at
 
 
-def pack_files(df: DataFrame, job: str, path: str, size: str, order: list[str], max_files: int = 500, max_bytes: int = 10 << 30) -> DataFrame:
-    """Greedy packing in order: a batch closes before a file that would exceed its files or known bytes; a lone oversize file closes at once."""
+class Budgeted:
+    """A file of unknown size is tested with its estimate but adds no bytes to the batch; unknown files are counted too."""
 
-    def step(s: Column, f: Column) -> Column:
-        known = F.when(f["__size"] >= 0, f["__size"])
-        k = F.coalesce(known, F.lit(0))
-        full = (s["n"] > 0) & ((s["n"] >= max_files) | F.coalesce(s["bytes"] + known > max_bytes, F.lit(False)))
-        n, used = F.when(full, 0).otherwise(s["n"]) + 1, F.when(full, 0).otherwise(s["bytes"]) + k
-        batch = s["batch"] + full.cast("bigint")
-        alone = (n == 1) & F.coalesce(known > max_bytes, F.lit(False))
-        return F.struct(F.when(alone, 0).otherwise(n).alias("n"), F.when(alone, 0).otherwise(used).alias("bytes"), F.lit(0).alias("unknown"), F.when(alone, batch + 1).otherwise(batch).alias("batch"), F.concat(s["out"], F.array(batch)).alias("out"))
+    def __init__(self, b: Budget) -> None:
+        self.b = b
+        self.batch = self.n = self.bytes = self.unknown = 0
 
-    return _fold(df, job, path, size, order, step)
+    def put(self, size: int | None) -> int:
+        blind = size is None or size < 0
+        need = self.b.unknown_estimate if blind else size
+        if self.n and (self.n >= self.b.max_files or self.bytes + need > self.b.max_batch_bytes or blind and self.unknown >= self.b.max_unknown):
+            self.batch += 1
+            self.n = self.bytes = self.unknown = 0
+        self.n, self.bytes, self.unknown = self.n + 1, self.bytes + (0 if blind else size), self.unknown + blind
+        return self.batch
 
 
-def pack_budget(df: DataFrame, job: str, path: str, size: str, b: Budget) -> DataFrame:
-    """Budget packing by path. A file of unknown size is tested with its estimate but adds no bytes to the batch."""
+class Capped:
+    """First come first served under a cap; a request that does not fit is passed over, one of unknown need is never admitted."""
+
+    def __init__(self, cap: int) -> None:
+        self.left = cap
+
+    def put(self, need: int | None) -> bool:
+        ok = need is not None and need <= self.left
+        self.left -= need if ok else 0
+        return ok
+
+
+def _in_order(df: DataFrame, by: str, order: list[str], keep: list[str], value: str, start, name: str, kind: T.DataType) -> DataFrame:  # noqa: ANN001
+    """(by, keep, name): what start().put(value) says of each row in its group's order."""
+    cols = {"by": F.col(by), "value": F.col(value).cast("bigint")} | {f"k{i}": F.col(c) for i, c in enumerate(keep)} | {f"o{i}": F.col(c) for i, c in enumerate(order)}
+    rows = df.select(*(c.alias(n) for n, c in cols.items())).repartition("by").sortWithinPartitions("by", *(n for n in cols if n[0] == "o"), *(n for n in cols if n[0] == "k"))
+    kept = [n for n in cols if n[0] == "k"]
+    schema = T.StructType([T.StructField(by, rows.schema["by"].dataType), *(T.StructField(c, rows.schema[n].dataType) for n, c in zip(kept, keep)), T.StructField(name, kind)])
+    arrow = pa.bool_() if kind == T.BooleanType() else pa.int64()
 
-    def step(s: Column, f: Column) -> Column:
-        known = F.when(f["__size"] >= 0, f["__size"])
-        acct = F.coalesce(known, F.lit(b.unknown_estimate))
-        full = (s["n"] > 0) & ((s["n"] >= b.max_files) | (s["bytes"] + acct > b.max_batch_bytes) | (known.isNull() & (s["unknown"] >= b.max_unknown)))
-        keep = lambda c: F.when(full, 0).otherwise(c)
-        batch = s["batch"] + full.cast("bigint")
-        return F.struct((keep(s["n"]) + 1).alias("n"), (keep(s["bytes"]) + F.coalesce(known, F.lit(0))).alias("bytes"), (keep(s["unknown"]) + known.isNull().cast("bigint")).alias("unknown"), batch.alias("batch"), F.concat(s["out"], F.array(batch)).alias("out"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, state = None, None
+        for b in batches:
+            out = []
+            for g, v in zip(b["by"].to_pylist(), b["value"].to_pylist()):
+                if state is None or g != group:
+                    group, state = g, start()
+                out.append(state.put(v))
+            yield pa.RecordBatch.from_arrays([b["by"], *(b[n] for n in kept), pa.array(out, arrow)], names=schema.names)
 
-    return _fold(df, job, path, size, [F.col(path).alias("__o")], step)
+    return rows.select("by", "value", *kept).mapInArrow(run, schema)
+
+
+def pack_files(df: DataFrame, job: str, path: str, size: str, order: list[str], max_files: int = 500, max_bytes: int = 10 << 30) -> DataFrame:
+    """(job, path, size, batch_no): greedy packing in order (see Greedy)."""
+    return _in_order(df, job, order, [path, size], size, lambda: Greedy(max_files, max_bytes), "batch_no", T.LongType())
+
+
+def pack_budget(df: DataFrame, job: str, path: str, size: str, b: Budget) -> DataFrame:
+    """(job, path, size, batch_no): budget packing by path (see Budgeted)."""
+    return _in_order(df, job, [path], [path, size], size, lambda: Budgeted(b), "batch_no", T.LongType())
 
 
 def footprint(accountable: Column, b: Budget) -> dict[str, Column]:
@@ -100,12 +141,8 @@ def batches(packed: DataFrame, job: str, path: str, size: str, b: Budget, repo:
 
 
 def admit(df: DataFrame, key: str, order: list[str], need: str, cap: int, by: str) -> DataFrame:
-    """(by, key, admitted): first come first served under a cap; a request that does not fit is passed over."""
-    rows = df.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(key).alias("__k"), F.col(need).cast("bigint").alias("__need")))).alias("r"))
-    state = "struct<used:bigint,out:array<boolean>>"
-    fits = lambda s, r: s["used"] + r["__need"] <= cap
-    out = F.aggregate("r", F.struct(F.lit(0).alias("used"), F.array().cast("array<boolean>").alias("out")).cast(state), lambda s, r: F.struct((s["used"] + F.when(fits(s, r), r["__need"]).otherwise(0)).alias("used"), F.concat(s["out"], F.array(fits(s, r))).alias("out")).cast(state))["out"]
-    return rows.select(by, F.explode(F.arrays_zip("r", out.alias("ok"))).alias("x")).select(by, F.col("x.r.__k").alias(key), F.col("x.ok").alias("admitted"))
+    """(by, key, admitted): see Capped."""
+    return _in_order(df, by, order, [key], need, lambda: Capped(cap), "admitted", T.BooleanType())
 
 
 def hysteresis(df: DataFrame, by: str, order: list[str], free: str, high: float, low: float) -> DataFrame:

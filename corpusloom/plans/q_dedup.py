@@ -58,32 +58,39 @@ def _planes_sql() -> str:
     return ", ".join(f"({t}, {p}, {[float(x) for x in PLANES[t][:, p]]}::DOUBLE[])" for t in range(PLANES.shape[0]) for p in range(PLANES.shape[2]))
 
 
-LSH_SQL = f"""
+_ALL = "embeddings"
+#: Of equal vectors the one of the least id.
+_REPS = "(SELECT min(vec_id) AS vec_id, embedding FROM embeddings GROUP BY embedding)"
+
+
+def _lsh_sql(vectors: str) -> str:
+    return f"""
 planes(t, p, v) AS (VALUES {_planes_sql()}),
-k AS (SELECT e.vec_id, t, CAST(sum(CASE WHEN list_dot_product(CAST(e.embedding AS DOUBLE[]), v) >= 0 THEN pow(2, p) ELSE 0 END) AS BIGINT) AS key FROM embeddings e CROSS JOIN planes GROUP BY e.vec_id, t),
+k AS (SELECT e.vec_id, t, CAST(sum(CASE WHEN list_dot_product(CAST(e.embedding AS DOUBLE[]), v) >= 0 THEN pow(2, p) ELSE 0 END) AS BIGINT) AS key FROM {vectors} e CROSS JOIN planes GROUP BY e.vec_id, t),
 c AS (SELECT DISTINCT x.vec_id AS a, y.vec_id AS b FROM k x JOIN k y ON x.t = y.t AND x.key = y.key AND x.vec_id < y.vec_id)"""
 
 
-@query(f"WITH {LSH_SQL} SELECT vec_id, array_to_string(list(key ORDER BY t), ',') AS keys FROM k GROUP BY vec_id")
+def _similar_sql(vectors: str) -> str:
+    return f"""{_lsh_sql(vectors)}, s AS (SELECT a, b FROM c JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b WHERE list_dot_product(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) >= {THRESHOLD})"""
+
+
+@query(f"WITH {_lsh_sql(_ALL)} SELECT vec_id, array_to_string(list(key ORDER BY t), ',') AS keys FROM k GROUP BY vec_id")
 def lsh_keys(spark, sf_dir):  # noqa: ANN001, ANN201
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.array_join(dedup.sign_keys(F.col("embedding"), PLANES).cast("array<string>"), ",").alias("keys"))
 
 
-@query(f"WITH {LSH_SQL} SELECT a, b FROM c")
+@query(f"WITH {_lsh_sql(_REPS)} SELECT a, b FROM c")
 def lsh_candidates(spark, sf_dir):  # noqa: ANN001, ANN201
     return dedup.candidate_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", PLANES)
 
 
-SIMILAR_SQL = f"""{LSH_SQL}, s AS (SELECT a, b FROM c JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b WHERE list_dot_product(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) >= {THRESHOLD})"""
-
-
-@query(f"WITH {SIMILAR_SQL} SELECT a, b FROM s")
+@query(f"WITH {_similar_sql(_REPS)} SELECT a, b FROM s")
 def similar_pairs(spark, sf_dir):  # noqa: ANN001, ANN201
     return dedup.similar_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", PLANES, THRESHOLD).select("a", "b")
 
 
-@query(f"""WITH RECURSIVE {SIMILAR_SQL}, e AS (SELECT a, b FROM s UNION SELECT b, a FROM s), r(node, reach) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach),
+@query(f"""WITH RECURSIVE {_similar_sql(_ALL)}, e AS (SELECT a, b FROM s UNION SELECT b, a FROM s), r(node, reach) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach),
 l AS (SELECT node, min(reach) AS component FROM r GROUP BY node)
 SELECT component, count(*) AS n, array_to_string(list_sort(list(node)), ',') AS members FROM l GROUP BY component""")
 def near_duplicate_groups(spark, sf_dir):  # noqa: ANN001, ANN201

@@ -128,6 +128,45 @@ def test_near_groups_equal_brute_force(spark):
     assert got == {(i, 40 + i) for i in range(10)}
 
 
+def test_equal_vectors_and_blocks(spark, monkeypatch):
+    """Equal vectors never make pairs; buckets dealt into blocks give the pairs and groups of the whole."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((6, 8))
+    v = np.concatenate([base[rng.integers(0, 6, 150)] + 0.05 * rng.standard_normal((150, 8)), np.zeros((3, 8))])
+    v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate([*v, *np.repeat(v[:1], 2000, 0)])] + [(-1, None)]
+    df = spark.createDataFrame(rows, "id bigint, v array<float>")
+    planes = dedup.hyperplanes(8, tables=3, planes=4)
+    side = np.stack([(v.astype(float) @ planes[t] >= 0) @ (1 << np.arange(4)) for t in range(3)], 1)
+    want = {(a, b) for a in range(151) for b in range(a + 1, 151) if (side[a] == side[b]).any()}
+    got = dedup.candidate_pairs(df, "id", "v", planes).collect()
+    assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
+    cos = v.astype(float) @ v.T.astype(float)
+    alike = {(a, b) for a, b in want if cos[a, b] >= 0.95}
+    groups = {tuple(r["members"]) for r in dedup.near_groups(df, "id", "v", planes, 0.95).collect()}
+    label = list(range(153))
+    for a, b in sorted(alike) * 60:
+        label[a] = label[b] = min(label[a], label[b])
+    assert groups == {tuple(sorted([i for i in range(153) if label[i] == c] + ([*range(153, 2153)] if c == label[0] else []))) for c in set(label) if c == label[0] or label.count(c) > 1}
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    monkeypatch.setattr("corpusloom.operators.skew.HOT_KEYS", 3)
+    assert {(r["a"], r["b"]) for r in dedup.similar_pairs(df, "id", "v", planes, 0.95).collect()} == alike
+    assert {tuple(r["members"]) for r in dedup.near_groups(df, "id", "v", planes, 0.95).collect()} == groups
+
+
+def test_first_wins_under_a_hot_digest(spark, monkeypatch):
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 50).cast("string")).alias("d"))
+    want = {r["id"]: r["duplicate_of"] for r in dedup.first_wins(df, "id", "d").collect()}
+    rows = [(r["id"], r["d"]) for r in df.collect()]
+    least = {}
+    for i, d in rows:
+        least.setdefault(d, i)
+    assert want == {i: None if least[d] == i else least[d] for i, d in rows}
+    monkeypatch.setattr("corpusloom.operators.skew.HOT_KEYS", 2)
+    monkeypatch.setattr("corpusloom.operators.skew.left_counted.__defaults__", ("n", 10))
+    assert {r["id"]: r["duplicate_of"] for r in dedup.first_wins(df, "id", "d").collect()} == want
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in dedup.components(links).collect()}
@@ -162,6 +201,16 @@ def test_packing_rules(spark):
     assert planning.Budget.from_workspace(100, 60, 20).workspace == 40
 
 
+def test_folds_of_a_long_job(spark):
+    """A million files of one job, with small batches: linear, as a stream."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("j").alias("job"), F.lpad(F.col("id").cast("string"), 8, "0").alias("path"), F.when(F.col("id") % 10 != 9, F.col("id") % 7).alias("size"))
+    got = planning.pack_files(df, "job", "path", "size", ["path"], 4, 1000).agg(F.max("batch_no"), F.count(F.lit(1))).first()
+    assert tuple(got) == (n // 4 - 1, n)
+    one = planning.admit(df.filter("size = 3").withColumn("path", F.col("path")), "path", ["path"], "size", 300, "job").agg(F.count_if("admitted"), F.min(F.when(~F.col("admitted"), F.col("path")))).first()
+    assert one[0] == 100 and one[1] is not None
+
+
 def test_state(spark, tmp_path):
     log = spark.createDataFrame([("a", "DONE", 1), ("a", "RETRY", 2), ("b", "START", 1)], "item string, state string, seq int")
     got = {r["item"]: (r["state"], r["done"]) for r in state.replay(log, "item", "state", ["seq"]).collect()}
