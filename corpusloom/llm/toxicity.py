@@ -13,13 +13,17 @@ scoring is a pass of array operations over the code points of whole texts, whate
 vocabulary.
 
 The model is fitted on a bounded sample of labelled rows (max_positive, max_negative, max_chars: the
-rows of least hash, whole texts). Defined results: a text without words scores 0; without labelled
-rows of both kinds every score is 0; a null id is not held out and has no label; repeated rows give
-repeated results; an empty table gives no rows; other columns of the input are not read.
+texts of least hash, whole, each text once however many rows have it). A very long text is scored
+stretch by stretch (STRETCH characters, cut at white space, windows counted anew in each), so its arrays
+are bounded unless it is one word. Defined results: a text without words scores 0; without labelled
+rows of both kinds every score is 0; a score that equals the threshold is predicted 1; of several labels
+of an id the highest counts; a null id is not held out and has no label; repeated rows give repeated
+results; an empty table gives no rows; other columns of the input are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +39,11 @@ NGRAMS = (3, 4, 5, 6)
 BITS = 18
 DIM = 8
 WINDOW = 4
+#: Characters of a text that are scored together, about.
+STRETCH = 1 << 20
 MARK = np.uint64(1)
 _B = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(r"\s")
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray, int]:
@@ -85,6 +92,15 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray, int]:
     return buckets, (words - 1) // WINDOW, (n_words + WINDOW - 1) // WINDOW
 
 
+def stretches(text: str, size: int | None = None) -> Iterator[str]:
+    """A text in pieces of at least `size` characters (but the last), each up to and with a white space."""
+    at, size = 0, size or STRETCH
+    while len(text) - at > size and (m := _SPACE.search(text, at + size - 1)):
+        yield text[at : m.end()]
+        at = m.end()
+    yield text[at:]
+
+
 @dataclass
 class Model:
     """value: the log odds that each bucket adds where it stands alone; bias: those of no evidence."""
@@ -104,10 +120,9 @@ class Model:
     def score(self, text: str | None) -> float:
         if not self.trained:
             return 0.0
-        z = self.window_logits(text or "")
-        if not len(z):
+        z = max((float(x.max()) for x in map(self.window_logits, stretches(text or "")) if len(x)), default=None)
+        if z is None:
             return 0.0
-        z = float(z.max())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -192,13 +207,13 @@ def fit(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.5,
 
 
 def sample(learn: DataFrame, marked: DataFrame, max_positive: int, max_negative: int, max_chars: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of the labelled rows of least hash: so many of each label, and characters in all, at most.
+    """Different texts of least hash and their labels: so many of each label, and characters in all, at most.
 
     learn: __id, __text; marked: __lid, __y. Hashes, ids and lengths are joined with the labels; only
     the texts of the chosen ids (max_positive + max_negative at most) leave the scan.
     """
     keyed = learn.select("__id", F.xxhash64("__text").alias("key"), F.length("__text").alias("n"))
-    known = keyed.join(marked, F.col("__id") == F.col("__lid")).select("__id", "key", "n", F.col("__y").cast("int").alias("y")).distinct()
+    known = keyed.join(marked, F.col("__id") == F.col("__lid")).groupBy("key", F.col("__y").cast("int").alias("y")).agg(F.min("__id").alias("__id"), F.max("n").alias("n"))
     rows = []
     for label, most in ((1, max_positive), (0, max_negative)):
         rows += known.filter(F.col("y") == label).orderBy("key", "__id").limit(most).collect()

@@ -54,6 +54,30 @@ def test_query_shape(spark):
     assert by[1002] > 0.5 and by[1000] == by[1001] == 0
 
 
+def test_long_texts_are_scored_in_stretches(monkeypatch):
+    rows = corpus(200)
+    m = X.fit([t for _, t, _ in rows], [y for _, _, y in rows])
+    r = random.Random(4)
+    for size in (7, 50, 1000):
+        for _ in range(20):
+            text = " ".join(words(r, r.randint(0, 300)))
+            parts = list(X.stretches(text, size))
+            assert "".join(parts) == text and all(len(p) >= size and p[-1] == " " for p in parts[:-1])
+    assert list(X.stretches("x" * 100, 7)) == ["x" * 100]
+    clean = " ".join(words(r, 4000))
+    monkeypatch.setattr(X, "STRETCH", 500)
+    assert m.score(f"{clean} idiot {clean}") >= 0.3 > m.score(clean)
+    assert abs(m.score(clean) - max(m.score(p) for p in X.stretches(clean))) < 1e-12
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rows = corpus(100)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(1000 + i, rows[0][1]) for i in range(300)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows] + [(1000 + i, 1) for i in range(300)], "lid bigint, y int")
+    texts, labels = X.sample(docs.select(X.F.col("doc_id").alias("__id"), X.F.col("text").alias("__text")), marks.toDF("__lid", "__y"), 10, 20, 10**9)
+    assert len(texts) == len(set(texts)) == 30 and sum(labels) == 10
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
