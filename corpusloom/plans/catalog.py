@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import base, q_campaign, q_dedup, q_decisions, q_intervals, q_planning, q_release, q_reports, q_signal, q_sources, q_streaming, q_text
+from corpusloom.plans import base, q_campaign, q_dedup, q_decisions, q_files, q_intervals, q_planning, q_release, q_reports, q_signal, q_sources, q_streaming, q_text
 
-_MODULES = (q_campaign, q_decisions, q_reports, q_intervals, q_dedup, q_planning, q_release, q_sources, q_text, q_signal, q_streaming)
+_MODULES = (q_campaign, q_decisions, q_reports, q_intervals, q_dedup, q_planning, q_release, q_sources, q_text, q_signal, q_files, q_streaming)
 
 
 def queries() -> dict:

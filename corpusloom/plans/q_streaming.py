@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from corpusloom.operators.skew import scratch
 from corpusloom.plans.base import query, table
 from corpusloom.streaming import logs
 
@@ -16,8 +14,7 @@ def _stream(spark, sf_dir):  # noqa: ANN001, ANN202
 
 
 def _folder(spark) -> str:  # noqa: ANN001
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='corpusloom-stream-')}"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return scratch(spark, "stream")
 
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS state FROM {events} GROUP BY user_id")

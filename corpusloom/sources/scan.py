@@ -121,6 +121,35 @@ def arrow_files(spark: SparkSession, root: str, columns: list[str], schema: T.St
     return files.mapInArrow(run, schema)
 
 
+def read_webdataset(spark: SparkSession, root: str) -> DataFrame:
+    """(shard, nth, id, content, meta) of the TAR shards below root: each <id>.wav with its <id>.json. A shard is one task's."""
+    import io
+    import tarfile
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.tar").load(root).select("path", "content")
+    names = ["shard", "nth", "id", "content", "meta"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b["path"].to_pylist(), b["content"]):
+                held: dict[str, dict] = {}
+                done = 0
+                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r") as tar:
+                    for member in tar:
+                        stem, _, suffix = member.name.rpartition(".")
+                        held.setdefault(stem, {})[suffix] = tar.extractfile(member).read()
+                        if len(held[stem]) == 2:
+                            one = held.pop(stem)
+                            row = (path.rsplit("/", 1)[-1], done, stem, one["wav"], one["json"].decode())
+                            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()))], names=names)
+                            done += 1
+
+    return files.mapInArrow(run, "shard string, nth bigint, id string, content binary, meta string")
+
+
 def merge_expanded(inventory: DataFrame, expanded: DataFrame, key: str = "path", mark: str = "#row-") -> DataFrame:
     """Inventory with the clips of shards: shards whose clips are there already are not expanded again; ids are unique, sorted."""
     parent = F.substring_index(F.col(key), mark, 1)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import os
+import re
 import tarfile
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import groupby
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +26,57 @@ from corpusloom.operators.publish import checksum_lines
 ROW_GROUP, SHARD = 512, 1000
 
 
+def store(path: str | Path) -> tuple[fs.FileSystem, str]:
+    """A file system and the place in it, for a URI (file:, hdfs:, s3: and the like) or a local path."""
+    path = str(path)
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":/" in path else Path(path).absolute().as_uri())
+
+
+def _sync(path: str) -> None:
+    """Have the disk hold a local file or folder."""
+    at = os.open(path, os.O_RDONLY)
+    try:
+        os.fsync(at)
+    finally:
+        os.close(at)
+
+
+@contextmanager
+def whole_file(path: str | Path) -> Iterator:
+    """An output stream whose file appears at its path only when it is whole; attempts never share a name before."""
+    at, name = store(path)
+    at.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    part = f"{name}.{uuid.uuid4().hex}.part"
+    try:
+        with at.open_output_stream(part) as out:
+            yield out
+        if local := isinstance(at, fs.LocalFileSystem):  # other stores have what is closed
+            _sync(part)
+        at.move(part, name)
+        if local:
+            _sync(name.rsplit("/", 1)[0])
+    except BaseException:
+        if at.get_file_info(part).type != fs.FileType.NotFound:
+            at.delete_file(part)
+        raise
+
+
 def write_atomic(path: str | Path, data: bytes) -> None:
-    """Small driver-side files: written beside, synced, renamed."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    tmp = path.with_name(path.name + ".part")
-    with open(tmp, "wb") as f:
-        f.write(data)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(tmp, path)
+    """Small driver-side files: written beside, closed, moved."""
+    with whole_file(path) as out:
+        out.write(data)
+
+
+def write_files(df: DataFrame, folder: str, path: str = "path", content: str = "content") -> DataFrame:
+    """Write each row's bytes to its path below folder; (path, size) of what was written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, data in zip(b["path"].to_pylist(), b["content"].to_pylist()):
+                write_atomic(f"{folder.rstrip('/')}/{name}", data or b"")
+            yield pa.RecordBatch.from_arrays([b["path"], pa.array([len(x or b"") for x in b["content"].to_pylist()], pa.int64())], names=["path", "size"])
+
+    return df.select(F.col(path).alias("path"), F.col(content).cast("binary").alias("content")).mapInArrow(run, "path string, size bigint")
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -52,45 +99,27 @@ def write_webdataset(rows: DataFrame, folder: str, key: str = "audio_id", order:
     """TAR shards of <id>.wav and <id>.json in the rows' order; returns (shard, n, bytes).
 
     Rows are numbered globally, dealt by shard and written as streams by pyarrow's file systems, so
-    folder may be any shared store. A shard is written beside and moved, and written again in
-    whole if its task is.
+    folder may be any shared store. A shard is written under a name of its attempt and moved, so
+    attempts of one task don't disturb each other, and written again in whole if its task is.
     """
     numbered_rows = numbered(rows, order or [key], 0, "__n").withColumn("shard", F.floor(F.col("__n") / per_shard).cast("int"))
     meta = F.to_json(F.struct(*sorted(c for c in rows.columns if c != "audio_bytes")))
-    dealt = numbered_rows.select("shard", "__n", F.col(key).alias("id"), "audio_bytes", meta.alias("meta")).repartition("shard").sortWithinPartitions("shard", "__n")
+    dealt = numbered_rows.select("shard", "__n", F.col(key).cast("string").alias("id"), "audio_bytes", meta.alias("meta")).repartition("shard").sortWithinPartitions("shard", "__n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{os.path.abspath(folder)}")
-        store.create_dir(base, recursive=True)
-        now, tar, out, n, name = None, None, None, 0, ""
-
-        def close() -> tuple:
-            tar.close()
-            size = out.tell()
-            out.close()
-            store.move(name + ".part", name)
-            return now, n, size
-
-        done = []
-        for b in batches:
-            for shard, rid, data, text in zip(*(b[c].to_pylist() for c in ("shard", "id", "audio_bytes", "meta"))):
-                if shard != now:
-                    if tar is not None:
-                        done.append(close())
-                    now, n, name = shard, 0, f"{base}/shard-{shard:05d}.tar"
-                    out = store.open_output_stream(name + ".part")
-                    tar = tarfile.open(fileobj=out, mode="w|")
-                for suffix, part in (("wav", data), ("json", text.encode())):
-                    info = tarfile.TarInfo(f"{rid}.{suffix}")
-                    info.size, info.mtime = len(part), 0
-                    tar.addfile(info, io.BytesIO(part))
-                n += 1
-        if tar is not None:
-            done.append(close())
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int32()), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())], names=["shard", "n", "bytes"])
+        rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in ("shard", "id", "audio_bytes", "meta"))))
+        for shard, group in groupby(rows, key=lambda r: r[0]):
+            n = 0
+            with whole_file(f"{folder.rstrip('/')}/shard-{shard:05d}.tar") as out:
+                with tarfile.open(fileobj=out, mode="w|") as tar:
+                    for _, rid, data, text in group:
+                        for suffix, part in (("wav", data or b""), ("json", text.encode())):
+                            info = tarfile.TarInfo(f"{rid}.{suffix}")
+                            info.size, info.mtime = len(part), 0
+                            tar.addfile(info, io.BytesIO(part))
+                        n += 1
+                size = out.tell()
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([size], pa.int64())], names=["shard", "n", "bytes"])
 
     return dealt.mapInArrow(run, "shard int, n bigint, bytes bigint")
 
@@ -104,28 +133,26 @@ def file_inventory(spark, root: str) -> DataFrame:  # noqa: ANN001
 
 def write_manifest(files: DataFrame, path: str | Path) -> str:
     """MANIFEST.sha256 of sorted lines; returns the release digest, which is the manifest's own hash."""
-    import hashlib
-
     lines = files.filter(F.col("path") != "MANIFEST.sha256").select("path", F.concat("sha256", F.lit("  "), "path").alias("l")).orderBy("path")
     sha = hashlib.sha256()
-    tmp = Path(path).with_name("MANIFEST.sha256.part")
-    with open(tmp, "w", encoding="utf-8") as f:
-        for r in lines.select("l").toLocalIterator():
-            f.write(r[0] + "\n")
-            sha.update(f"{r[0]}\n".encode())
-    os.replace(tmp, path)
+    with whole_file(path) as out:
+        for r in lines.select("l").toLocalIterator():  # one file in order: a line at a time
+            line = f"{r[0]}\n".encode()
+            out.write(line)
+            sha.update(line)
     return sha.hexdigest()
 
 
 def set_marker(folder: str | Path, blockers: list[str], **payload) -> str:  # noqa: ANN003
     """RELEASE_READY.json or RELEASE_BLOCKED.json, never both; equal content keeps the file as it is."""
-    folder = Path(folder)
     ready = not blockers
     mine, other = ("RELEASE_READY.json", "RELEASE_BLOCKED.json")[:: 1 if ready else -1]
-    (folder / other).unlink(missing_ok=True)
+    at, base = store(folder)
+    if at.get_file_info(f"{base}/{other}").type != fs.FileType.NotFound:
+        at.delete_file(f"{base}/{other}")
     data = json.dumps(payload | ({} if ready else {"blockers": sorted(blockers)}), sort_keys=True, ensure_ascii=False).encode()
-    if not (folder / mine).exists() or (folder / mine).read_bytes() != data:
-        write_atomic(folder / mine, data)
+    if at.get_file_info(f"{base}/{mine}").type == fs.FileType.NotFound or at.open_input_stream(f"{base}/{mine}").read() != data:
+        write_atomic(f"{str(folder).rstrip('/')}/{mine}", data)
     return mine
 
 
@@ -137,18 +164,17 @@ def card(rows: DataFrame, title: str, license_col: str = "license") -> str:
 
 
 def write_splits(rows: DataFrame, path: str) -> None:
-    """Rows by split, sorted by file name within each."""
-    rows.repartition("split").sortWithinPartitions("split", "file_name").write.mode("overwrite").partitionBy("split").json(path)
+    """Rows by split, sorted by file name within each: in ranges of names, so a split is as many tasks' as it needs, and its files follow each other."""
+    rows.repartitionByRange("split", "file_name").sortWithinPartitions("split", "file_name").write.mode("overwrite").partitionBy("split").json(path)
 
 
 def write_handoff(rows: DataFrame, path: str | Path) -> int:
-    """manifest.jsonl sorted by split and id, byte-identical for equal rows."""
-    n, tmp = 0, Path(path).with_name(Path(path).name + ".part")
-    with open(tmp, "w", encoding="utf-8") as f:
+    """manifest.jsonl sorted by split and id, byte-identical for equal rows: one file in order, a row at a time."""
+    n = 0
+    with whole_file(path) as out:
         for r in rows.select(*sorted(rows.columns)).orderBy("split", "id").toLocalIterator():
-            f.write(json.dumps(r.asDict(), sort_keys=True, ensure_ascii=False) + "\n")
+            out.write((json.dumps(r.asDict(), sort_keys=True, ensure_ascii=False) + "\n").encode())
             n += 1
-    os.replace(tmp, path)
     return n
 
 
