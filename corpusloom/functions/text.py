@@ -109,8 +109,25 @@ def normalize_transcript(c: Column, compose: bool = True) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"(?U)[^\w\s]", " "), r"(?U)\s+", " "))
 
 
-def char_error_rate(reference: Column, hypothesis: Column) -> Column:
-    """Edits per character of the reference; an empty reference gives 0 for an empty hypothesis, else 1."""
+def fixed(x: Column, digits: int) -> Column:
+    """A finite number of 0 or more with so many decimals: of its exact value, halves to the even digit.
+
+    Its product with the power of ten may be rounded onto a half; the rest that the product lost, which
+    double numbers can hold, then tells on which side the exact value lies.
+    """
+    x, ten = x.cast("double"), float(10**digits)
+    p = x * ten
+    c = x * 134217729.0  # splits x into halves whose products with the power are exact
+    hi = c - (c - x)
+    lost = (hi * ten - p) + (x - hi) * ten
+    low = F.floor(p).cast("double")
+    n = F.when((p - low == 0.5) & (lost > 0), low + 1).when((p - low == 0.5) & (lost < 0), low).otherwise(F.rint(p))
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", n / ten))
+
+
+def char_error_rate(reference: Column, hypothesis: Column, compose: bool = True) -> Column:
+    """Edits per character of the reference, both normalised; an empty reference gives 0 for an empty hypothesis, else 1."""
+    reference, hypothesis = normalize_transcript(reference, compose), normalize_transcript(hypothesis, compose)
     n = F.length(reference)
     return F.when(n == 0, F.when(F.length(hypothesis) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(reference, hypothesis) / n)
 

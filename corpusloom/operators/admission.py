@@ -50,7 +50,7 @@ def reasons(*cases: tuple[Column, Column | str]) -> Column:
     return F.filter(F.array(*(F.when(F.coalesce(w, F.lit(False)), F.lit(t) if isinstance(t, str) else t) for w, t in cases)), lambda x: x.isNotNull())
 
 
-def admission(rate: Column, codec: Column, low_bandwidth: Column, a: Admission = Admission()) -> dict[str, Column]:  # noqa: B008
+def admission(rate: Column, codec: Column, low_bandwidth: Column, a: Admission = Admission(), bandwidth: Column | None = None) -> dict[str, Column]:  # noqa: B008
     """source_rate_class, action, admitted, source_lossy and ordered reason_codes. A rate that can't be measured is an error."""
     none = F.coalesce(rate <= 0, F.lit(True))
     kind, loss = rate_class(rate, a), lossy(codec)
@@ -65,7 +65,7 @@ def admission(rate: Column, codec: Column, low_bandwidth: Column, a: Admission =
             (none, "SOURCE_SAMPLE_RATE_UNMEASURABLE"),
             (~none, F.concat(F.lit("SOURCE_RATE_CLASS:"), kind, F.lit(":sr="), text)),
             (~none & loss, F.concat(F.lit("SOURCE_LOSSY:codec="), codec)),
-            (~none & low_bandwidth, "SUSPECTED_UPSAMPLED_SOURCE"),
+            (~none & low_bandwidth, F.concat(F.lit("SUSPECTED_UPSAMPLED_SOURCE:eff_bw="), F.lit("None") if bandwidth is None else F.coalesce(bandwidth.cast("double").cast("string"), F.lit("None")))),
             (is_("BELOW_MIN_NATIVE"), F.concat(F.lit("BELOW_MIN_NATIVE:sr="), text, F.lit(f"<min={a.native_rate}"))),
             (is_("LOW_BANDWIDTH_SOURCE"), "LOW_BANDWIDTH_SOURCE"),
             (is_("NARROWBAND_SOURCE"), "NARROWBAND_SOURCE"),

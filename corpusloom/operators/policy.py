@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import fixed
+
 PASS, FAIL, UNKNOWN = "PASS", "FAIL", "UNKNOWN"
 CHECKS = ("has_speech", "duration_ok", "source_bandwidth_ok", "no_clipping", "no_confirmed_music_overlap", "no_severe_noise_overlap", "no_interfering_speech", "quality_ok", "transcript_ok", "rights_ok")
 #: Ranks of severities; one that is not known ranks with the worst. Fixed values.
@@ -66,9 +68,13 @@ def _check(*cases: tuple[Column, str, Column | str | None], last: str = PASS) ->
     return result, reason
 
 
-def checks(p: Policy) -> dict[str, tuple[Column, Column]]:
-    """Each check's (result, reason) over the columns of an evidence row."""
+def checks(p: Policy, bandwidth: Column | None = None) -> dict[str, tuple[Column, Column]]:
+    """Each check's (result, reason) over the columns of an evidence row; bandwidth, if measured, is told in its reason."""
     c = F.col
+    said = lambda text, *parts: F.concat(F.lit(text), *(F.lit(x) if isinstance(x, str) else x for x in parts))
+    suspected = F.lit("SUSPECTED_UPSAMPLED_SOURCE")
+    if bandwidth is not None:
+        suspected = F.concat(suspected, F.coalesce(said(":eff_bw=", fixed(bandwidth, 0), "Hz"), F.lit("")))
     events = c("noise_events")  # a null array has no events: what it gives is null, and a null condition does not hold
     length = (c("interval_end_sample") - c("interval_start_sample")) / c("analysis_sample_rate")
     no_time = c("analysis_sample_rate").isNull() | (c("analysis_sample_rate") == 0) | (c("interval_end_sample") <= c("interval_start_sample"))
@@ -77,10 +83,10 @@ def checks(p: Policy) -> dict[str, tuple[Column, Column]]:
     worst = F.array_max(F.transform(F.filter(events, lambda e: e["overlaps_speech"] & e["label"].isin(*NOISE_LABELS)), lambda e: severity_rank(e["severity"])))
     rights = c("rights_status")
     out = {
-        "has_speech": _check((c("speech_ratio").isNull(), UNKNOWN, "SPEECH_RATIO_UNKNOWN"), (c("speech_ratio") < p.min_speech_ratio, FAIL, "NO_SPEECH")),
-        "duration_ok": _check((no_time, UNKNOWN, "DURATION_UNKNOWN"), (time_ok < p.min_duration_s, FAIL, "DURATION_TOO_SHORT"), (time_ok > p.max_duration_s, FAIL, "DURATION_TOO_LONG")),
-        "source_bandwidth_ok": _check((c("low_bandwidth_suspected"), UNKNOWN, "SUSPECTED_UPSAMPLED_SOURCE")),
-        "no_clipping": _check((F.exists(events, lambda e: (e["label"] == "CLIPPING_DISTORTION") & (e["severity"] == "N3")), FAIL, "CLIPPING_CONFIRMED_N3"), (c("clipping_ratio") > p.max_clip_ratio, FAIL, "CLIPPING_RATIO")),
+        "has_speech": _check((c("speech_ratio").isNull(), UNKNOWN, "SPEECH_RATIO_UNKNOWN"), (c("speech_ratio") < p.min_speech_ratio, FAIL, said("NO_SPEECH:ratio=", fixed(c("speech_ratio"), 2)))),
+        "duration_ok": _check((no_time, UNKNOWN, "DURATION_UNKNOWN"), (time_ok < p.min_duration_s, FAIL, said("DURATION_TOO_SHORT:", fixed(time_ok, 2), f"s<{p.min_duration_s:.1f}s")), (time_ok > p.max_duration_s, FAIL, said("DURATION_TOO_LONG:", fixed(time_ok, 2), f"s>{p.max_duration_s:.1f}s"))),
+        "source_bandwidth_ok": _check((c("low_bandwidth_suspected"), UNKNOWN, suspected)),
+        "no_clipping": _check((F.exists(events, lambda e: (e["label"] == "CLIPPING_DISTORTION") & (e["severity"] == "N3")), FAIL, "CLIPPING_CONFIRMED_N3"), (c("clipping_ratio") > p.max_clip_ratio, FAIL, said("CLIPPING_RATIO:", fixed(c("clipping_ratio"), 4)))),
         "no_confirmed_music_overlap": _check((~_yes(c("avail_music")), UNKNOWN, "MUSIC_GATE_UNAVAILABLE"), (music, FAIL, "MUSIC_OVERLAP_CONFIRMED")) if p.forbid_music else _check(),
         "no_severe_noise_overlap": _check((worst > SEVERITY_RANK.get(p.max_noise_severity, 1), FAIL, f"NOISE_OVERLAP_SEVERITY>{p.max_noise_severity}")),
         "no_interfering_speech": _check((~_yes(c("avail_speaker")) | (c("speaker_status") == UNKNOWN), UNKNOWN, "SPEAKER_GATE_UNAVAILABLE"), (F.size(c("speaker_overlap_intervals")) > 0, FAIL, "INTERFERING_SPEECH_CONFIRMED")) if p.single_speaker else _check(),
@@ -89,7 +95,7 @@ def checks(p: Policy) -> dict[str, tuple[Column, Column]]:
     cases: list = [(~_yes(c("avail_quality")) | ~_yes(c("quality_status") == "OK"), UNKNOWN, "QUALITY_MODEL_UNAVAILABLE")]
     for name in ("sig", "bak", "ovrl"):
         if (floor := p.floors.get(name)) is not None:
-            cases += [(c(name).isNull(), UNKNOWN, f"QUALITY_{name.upper()}_UNKNOWN"), (c(name) < floor, FAIL, f"QUALITY_{name.upper()}_BELOW")]
+            cases += [(c(name).isNull(), UNKNOWN, f"QUALITY_{name.upper()}_UNKNOWN"), (c(name) < floor, FAIL, said(f"QUALITY_{name.upper()}_BELOW:", fixed(c(name), 2), f"<{floor:.2f}"))]
     out["quality_ok"] = _check(*cases)
     if p.target == "public":
         good, why = (rights == "REDISTRIBUTION_APPROVED") & c("redistribution_permitted"), "RIGHTS_NOT_REDISTRIBUTABLE:"
@@ -118,7 +124,7 @@ def combine(results: dict[str, Column], p: Policy) -> Column:
 def decide(evidence: DataFrame, p: Policy | None = None) -> DataFrame:
     """evidence with observed_checks (a map), reason_codes (in the order of the checks) and decision."""
     p = p or Policy()
-    found = checks(p)
+    found = checks(p, F.col("effective_bandwidth_hz") if "effective_bandwidth_hz" in evidence.columns else None)
     out = evidence.select("*", *(r.alias(f"__c_{k}") for k, (r, _) in found.items()), *(w.alias(f"__w_{k}") for k, (_, w) in found.items()))
     results = {k: F.col(f"__c_{k}") for k in found}
     observed = F.create_map(*(x for k in found for x in (F.lit(k), results[k])))

@@ -20,13 +20,12 @@ def evaluate(sources: DataFrame, declarations: DataFrame, key: str = "source_id"
     d = declarations.select("seq", "source_id", "uri_prefix", F.struct("rights_status", "redistribution_permitted", "commercial_training_permitted", "source_license").alias("d"))
     by_id = d.filter("source_id is not null").groupBy("source_id").agg(F.min_by("d", "seq").alias("__by_id")).withColumnRenamed("source_id", "__sid")
     prefixes = d.filter("uri_prefix <> ''").groupBy("uri_prefix").agg(F.min_by("d", "seq").alias("__by_prefix")).withColumnRenamed("uri_prefix", "__prefix")
-    lengths = [r[0] for r in prefixes.select(F.length("__prefix")).distinct().limit(1001).collect()]
-    if len(lengths) > 1000:
-        raise ValueError("prefixes of more than 1000 lengths")
+    lengths = [r[0] for r in prefixes.select(F.length("__prefix")).distinct().collect()]  # as many as the longest prefix has characters, at most
     hint = F.broadcast if declarations.limit(BROADCAST_DECLARATIONS + 1).count() <= BROADCAST_DECLARATIONS else (lambda x: x)
     out = sources.join(hint(by_id), F.col(key) == F.col("__sid"), "left").drop("__sid")
     if lengths:
-        found = sources.select(F.col(uri).alias("__u")).distinct().withColumn("__n", F.explode(F.array(*map(F.lit, lengths)))).filter(F.length("__u") >= F.col("__n"))
+        fits = F.filter(F.lit(sorted(lengths)), lambda n: n <= F.length("__u"))
+        found = sources.select(F.col(uri).alias("__u")).distinct().withColumn("__n", F.explode(fits))
         found = found.withColumn("__cut", F.substring("__u", F.lit(1), F.col("__n"))).join(hint(prefixes), F.col("__cut") == F.col("__prefix"))
         longest = found.groupBy("__u").agg(F.max_by("__by_prefix", "__n").alias("__by_prefix"))
         out = out.join(longest, F.col(uri) == F.col("__u"), "left").drop("__u")

@@ -129,10 +129,13 @@ def canonical_export(spark, sf_dir):  # noqa: ANN001, ANN201
 
 
 @query("""SELECT 'SEG_' || substr(sha256(sha256(text) || chr(31) || 'tech'), 1, 16) AS segment_id, sha256(text) AS source_sha256, 0 AS interval_start_sample, 0 AS interval_end_sample, 16000 AS analysis_sample_rate, 'REJECT_TECH' AS decision, 'EMPTY_AUDIO' AS reason_codes FROM {documents} WHERE doc_id % 3 = 0
-UNION ALL SELECT 'SEG_' || substr(sha256(sha256(text) || chr(31) || 'error' || chr(31) || 'NO_FILE'), 1, 16), sha256(text), 0, 0, 16000, 'ERROR', 'NO_FILE' FROM {documents} WHERE doc_id % 3 = 1""")
+UNION ALL SELECT 'SEG_' || substr(sha256(sha256(text) || chr(31) || 'error' || chr(31) || 'NO_FILE'), 1, 16), sha256(text), 0, 0, 16000, 'ERROR', 'NO_FILE' FROM {documents} WHERE doc_id % 3 = 1
+UNION ALL SELECT 'SEG_' || substr(sha256(sha256(text) || chr(31) || 'admission'), 1, 16), sha256(text), 0, 0, 16000, 'REJECT_TECH', 'SOURCE_RATE_CLASS:NARROWBAND_SOURCE:sr=8000|NARROWBAND_SOURCE' FROM {documents} WHERE doc_id % 3 = 2""")
 def rejection_evidence(spark, sf_dir):  # noqa: ANN001, ANN201
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("source_sha256"))
     both = evidence.rejected(d.filter("doc_id % 3 = 0"), "tech", F.array(F.lit("EMPTY_AUDIO"))).unionByName(evidence.rejected(d.filter("doc_id % 3 = 1"), "error", F.array(F.lit("NO_FILE")), "ERROR"))
+    codes = F.array(F.lit("SOURCE_RATE_CLASS:NARROWBAND_SOURCE:sr=8000"), F.lit("NARROWBAND_SOURCE"))
+    both = both.unionByName(evidence.rejected(d.filter("doc_id % 3 = 2"), "admission", codes))  # each document has one of three fates
     return both.withColumn("reason_codes", F.array_join("reason_codes", "|"))
 
 

@@ -14,7 +14,7 @@ SELECT d.doc_id, concat('seg_', CAST(d.doc_id AS STRING)) AS segment_id, d.sourc
   CAST(16000 AS INT) AS analysis_sample_rate,
   CASE WHEN d.doc_id % 17 = 0 THEN NULL ELSE CAST(d.doc_id % 10 AS DOUBLE) / 8 END AS speech_ratio,
   CASE WHEN d.doc_id % 19 = 0 THEN NULL ELSE CAST(d.doc_id % 50 AS DOUBLE) / 4096 END AS clipping_ratio,
-  d.doc_id % 13 = 0 AS low_bandwidth_suspected,
+  d.doc_id % 13 = 0 AS low_bandwidth_suspected, CASE WHEN d.doc_id % 26 <> 0 THEN CAST(d.n_chars % 9000 AS DOUBLE) + CAST(d.doc_id % 4 AS DOUBLE) / 4 END AS effective_bandwidth_hz,
   CASE WHEN d.doc_id % 5 = 0 THEN 'CLIPPING_DISTORTION' WHEN d.doc_id % 5 = 1 THEN 'MUSIC_BACKGROUND' WHEN d.doc_id % 5 = 2 THEN 'HISS_STATIC' END AS ev_label,
   CASE WHEN d.doc_id % 7 = 6 THEN 'NX' ELSE concat('N', CAST(d.doc_id % 7 % 4 AS STRING)) END AS ev_severity,
   d.doc_id % 3 <> 0 AS ev_overlaps,
@@ -62,14 +62,14 @@ p AS (SELECT q.*, CASE
   WHEN rights_status IN ('LICENSE_REVIEW', 'UNKNOWN') THEN 'LICENSE_REVIEW'
   WHEN list_contains(need, 'UNKNOWN') THEN 'REVIEW' ELSE 'ACCEPT' END AS decision,
   list_filter([
-    CASE WHEN has_speech = 'UNKNOWN' THEN 'SPEECH_RATIO_UNKNOWN' WHEN has_speech = 'FAIL' THEN 'NO_SPEECH' END,
-    CASE WHEN duration_ok = 'UNKNOWN' THEN 'DURATION_UNKNOWN' WHEN duration_ok = 'FAIL' THEN CASE WHEN interval_end_sample < 48000 THEN 'DURATION_TOO_SHORT' ELSE 'DURATION_TOO_LONG' END END,
-    CASE WHEN source_bandwidth_ok = 'UNKNOWN' THEN 'SUSPECTED_UPSAMPLED_SOURCE' END,
-    CASE WHEN no_clipping = 'FAIL' THEN CASE WHEN ev_label = 'CLIPPING_DISTORTION' AND ev_severity = 'N3' THEN 'CLIPPING_CONFIRMED_N3' ELSE 'CLIPPING_RATIO' END END,
+    CASE WHEN has_speech = 'UNKNOWN' THEN 'SPEECH_RATIO_UNKNOWN' WHEN has_speech = 'FAIL' THEN 'NO_SPEECH:ratio=' || printf('%.2f', speech_ratio) END,
+    CASE WHEN duration_ok = 'UNKNOWN' THEN 'DURATION_UNKNOWN' WHEN duration_ok = 'FAIL' THEN CASE WHEN interval_end_sample < 48000 THEN 'DURATION_TOO_SHORT:' || printf('%.2f', dur::DOUBLE) || 's<3.0s' ELSE 'DURATION_TOO_LONG:' || printf('%.2f', dur::DOUBLE) || 's>12.0s' END END,
+    CASE WHEN source_bandwidth_ok = 'UNKNOWN' THEN 'SUSPECTED_UPSAMPLED_SOURCE' || coalesce(':eff_bw=' || printf('%.0f', effective_bandwidth_hz) || 'Hz', '') END,
+    CASE WHEN no_clipping = 'FAIL' THEN CASE WHEN ev_label = 'CLIPPING_DISTORTION' AND ev_severity = 'N3' THEN 'CLIPPING_CONFIRMED_N3' ELSE 'CLIPPING_RATIO:' || printf('%.4f', clipping_ratio) END END,
     CASE no_confirmed_music_overlap WHEN 'UNKNOWN' THEN 'MUSIC_GATE_UNAVAILABLE' WHEN 'FAIL' THEN 'MUSIC_OVERLAP_CONFIRMED' END,
     CASE WHEN no_severe_noise_overlap = 'FAIL' THEN 'NOISE_OVERLAP_SEVERITY>N1' END,
     CASE no_interfering_speech WHEN 'UNKNOWN' THEN 'SPEAKER_GATE_UNAVAILABLE' WHEN 'FAIL' THEN 'INTERFERING_SPEECH_CONFIRMED' END,
-    CASE WHEN quality_ok = 'UNKNOWN' THEN CASE WHEN NOT avail_quality OR quality_status <> 'OK' THEN 'QUALITY_MODEL_UNAVAILABLE' ELSE 'QUALITY_BAK_UNKNOWN' END WHEN quality_ok = 'FAIL' THEN CASE WHEN sig < 2.25 THEN 'QUALITY_SIG_BELOW' ELSE 'QUALITY_BAK_BELOW' END END,
+    CASE WHEN quality_ok = 'UNKNOWN' THEN CASE WHEN NOT avail_quality OR quality_status <> 'OK' THEN 'QUALITY_MODEL_UNAVAILABLE' ELSE 'QUALITY_BAK_UNKNOWN' END WHEN quality_ok = 'FAIL' THEN CASE WHEN sig < 2.25 THEN 'QUALITY_SIG_BELOW:' || printf('%.2f', sig) || '<2.25' ELSE 'QUALITY_BAK_BELOW:' || printf('%.2f', bak) || '<2.25' END END,
     CASE transcript_ok WHEN 'FAIL' THEN 'TRANSCRIPT_MISMATCH' WHEN 'UNKNOWN' THEN 'TRANSCRIPT_UNVERIFIED' END,
     CASE WHEN rights_ok = 'FAIL' THEN 'RIGHTS_NOT_REDISTRIBUTABLE:' || rights_status END], lambda x: x IS NOT NULL) AS reasons FROM q)
 """
@@ -117,7 +117,7 @@ def policy_train_only_rights(spark, sf_dir):  # noqa: ANN001, ANN201
 #: Documents as probed sources.
 SOURCES = """
 SELECT doc_id, CAST(CASE WHEN doc_id % 53 = 0 THEN NULL WHEN doc_id % 53 = 1 THEN 0 ELSE 7000 + n_chars * 5 END AS INT) AS rate,
-  CASE doc_id % 6 WHEN 0 THEN 'pcm_s16le' WHEN 1 THEN 'MP3' WHEN 2 THEN ' flac ' WHEN 3 THEN 'opus' WHEN 4 THEN 'strange' END AS codec, doc_id % 7 = 0 AS low
+  CASE doc_id % 6 WHEN 0 THEN 'pcm_s16le' WHEN 1 THEN 'MP3' WHEN 2 THEN ' flac ' WHEN 3 THEN 'opus' WHEN 4 THEN 'strange' END AS codec, doc_id % 7 = 0 AS low, CASE WHEN doc_id % 14 <> 0 THEN CAST(n_chars AS DOUBLE) / 8 END AS bandwidth
 FROM {documents}
 """
 
@@ -129,11 +129,11 @@ SELECT doc_id, CASE WHEN NOT none THEN k END AS source_rate_class,
   CASE WHEN none THEN 'ERROR' WHEN k = 'NATIVE_OR_HIGHER' THEN 'IDENTITY' WHEN k = 'BELOW_MIN_NATIVE' THEN 'REJECT_BELOW_MIN_NATIVE' WHEN k = 'LOW_BANDWIDTH_SOURCE' THEN 'REJECT_LOW_BANDWIDTH' ELSE 'REJECT_NARROWBAND' END AS action,
   NOT none AND k = 'NATIVE_OR_HIGHER' AS admitted, lossy AS source_lossy,
   array_to_string(list_filter([CASE WHEN none THEN 'SOURCE_SAMPLE_RATE_UNMEASURABLE' ELSE 'SOURCE_RATE_CLASS:' || k || ':sr=' || rate END, CASE WHEN NOT none AND lossy THEN 'SOURCE_LOSSY:codec=' || codec END,
-    CASE WHEN NOT none AND low THEN 'SUSPECTED_UPSAMPLED_SOURCE' END, CASE WHEN NOT none AND k = 'BELOW_MIN_NATIVE' THEN 'BELOW_MIN_NATIVE:sr=' || rate || '<min=24000' END,
+    CASE WHEN NOT none AND low THEN 'SUSPECTED_UPSAMPLED_SOURCE:eff_bw=' || coalesce(CAST(bandwidth AS VARCHAR), 'None') END, CASE WHEN NOT none AND k = 'BELOW_MIN_NATIVE' THEN 'BELOW_MIN_NATIVE:sr=' || rate || '<min=24000' END,
     CASE WHEN NOT none AND k IN ('LOW_BANDWIDTH_SOURCE', 'NARROWBAND_SOURCE') THEN k END], lambda x: x IS NOT NULL), '|') AS reason_codes FROM k""")
 def rate_class_admission(spark, sf_dir):  # noqa: ANN001, ANN201
     s = over(spark, sf_dir, SOURCES)
-    a = admission.admission(F.col("rate"), F.col("codec"), F.col("low"))
+    a = admission.admission(F.col("rate"), F.col("codec"), F.col("low"), bandwidth=F.col("bandwidth"))
     return s.select("doc_id", *(F.array_join(c, "|").alias(k) if k == "reason_codes" else c.alias(k) for k, c in a.items()))
 
 

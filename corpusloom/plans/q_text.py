@@ -19,11 +19,15 @@ def normalize_text(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "benchmark").select("item_id", text.normalize_transcript(F.col("text")).alias("normalized"))
 
 
-@query("""WITH p AS (SELECT doc_id, lower(left(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 60)) AS r, lower(left(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 50 + CAST(doc_id % 20 AS INT))) AS h FROM {documents})
-SELECT doc_id, CASE WHEN length(r) = 0 THEN CASE WHEN length(h) = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END ELSE levenshtein(r, h)::DOUBLE / length(r) END AS cer FROM p""")
+_PLAIN = "SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[^A-Za-z0-9 ]', '{g}') AS t FROM {conversations}"
+
+
+@query("WITH p AS (" + _PLAIN.replace("'{g}'", "' ', 'g'") + r"""), n AS (SELECT *, trim(regexp_replace(lower(trim(t)), '\s+', ' ', 'g')) AS r, trim(regexp_replace(lower(trim(translate(t, 'aon', 'xy') || ' Zz')), '\s+', ' ', 'g')) AS h FROM p)
+SELECT conv_id, turn, r AS said, CASE WHEN length(r) = 0 THEN 1.0::DOUBLE ELSE levenshtein(r, h)::DOUBLE / length(r) END AS cer FROM n""")
 def char_error_rate(spark, sf_dir):  # noqa: ANN001, ANN201
-    p = over(spark, sf_dir, "SELECT doc_id, lower(left(regexp_replace(text, '[^A-Za-z ]', ''), 60)) AS r, lower(left(regexp_replace(text, '[^A-Za-z ]', ''), 50 + CAST(doc_id % 20 AS INT))) AS h FROM {documents}")
-    return p.select("doc_id", text.char_error_rate(F.col("r"), F.col("h")).alias("cer"))
+    """Whole turns of conversations, their letters and digits of ASCII (which the twin counts right), against an edited copy."""
+    p = over(spark, sf_dir, _PLAIN.replace("'{g}'", "' '"))
+    return p.select("conv_id", "turn", text.normalize_transcript(F.col("t")).alias("said"), text.char_error_rate(F.col("t"), F.concat(F.translate("t", "aon", "xy"), F.lit(" Zz"))).alias("cer"))
 
 
 @query()
@@ -32,7 +36,7 @@ def char_error_rate_whole(spark, sf_dir):  # noqa: ANN001, ANN201
     c = table(spark, sf_dir, "conversations")
     r = F.coalesce("text", F.lit(""))
     h = F.concat(F.translate(r, "aon", "äó"), F.lit(" …"))  # a and o replaced, n dropped, two characters more
-    return c.select("conv_id", "turn", r.alias("reference"), text.char_error_rate(r, h).alias("cer"))
+    return c.select("conv_id", "turn", text.normalize_transcript(r).alias("reference"), text.normalize_transcript(h).alias("hypothesis"), text.char_error_rate(r, h).alias("cer"))
 
 
 @query("""SELECT conv_id, turn, CASE WHEN trim(coalesce(text, '')) = '' THEN 'NOT_APPLICABLE' WHEN role = 'system' THEN 'OK' WHEN turn % 3 = 0 THEN 'UNKNOWN' WHEN (turn % 5) / 8.0 > 0.35 THEN 'ERROR' ELSE 'UNKNOWN' END AS status FROM {conversations}""")

@@ -201,6 +201,27 @@ def test_packing_rules(spark):
     assert planning.Budget.from_workspace(100, 60, 20).workspace == 40
 
 
+def test_prefixes_of_many_lengths(spark):
+    from corpusloom.operators import rights
+
+    long = "u:" + "x" * 1600
+    kind = "seq int, source_id string, uri_prefix string, rights_status string, redistribution_permitted boolean, commercial_training_permitted string, source_license string"
+    decl = spark.createDataFrame([(n, None, long[:n], "TRAIN_ONLY", False, None, f"l{n}") for n in range(3, 1503)], kind)
+    src = spark.createDataFrame([("a", long[:10]), ("b", long), ("c", long[:700] + "y"), ("d", "v:x"), ("e", None)], "source_id string, source_uri string")
+    got = {r["source_id"]: r["license"] for r in rights.evaluate(src, decl, license_col=None).collect()}
+    assert got == {"a": "l10", "b": "l1502", "c": "l700", "d": got["d"], "e": got["e"]} and not str(got["d"]).startswith("l") and not str(got["e"]).startswith("l")
+
+
+def test_fixed_equals_python(spark):
+    import random
+
+    r = random.Random(4)
+    xs = [k / 8 for k in range(64)] + [k / 1000 for k in range(0, 3000, 5)] + [r.random() * 10 ** r.randint(0, 4) for _ in range(2000)] + [0.155, 1.005, 2.675, 0.145, 4.35, 0.00005, 0.00015]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = df.select("x", *(text.fixed(F.col("x"), d).alias(f"d{d}") for d in (0, 2, 4))).collect()
+    assert all(r[f"d{d}"] == f"{r['x']:.{d}f}" for r in got for d in (0, 2, 4))
+
+
 def test_folds_of_a_long_job(spark):
     """A million files of one job, with small batches: linear, as a stream."""
     n = 1_000_000
