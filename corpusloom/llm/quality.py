@@ -34,7 +34,7 @@ CAPITALS = "".join(c for c in map(chr, range(0x590)) if unicodedata.category(c)
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Iterations end when no estimate moves by more than the tolerance.
-ITERATIONS, TOLERANCE, MIN_POSTERIOR = 12, 1e-6, 0.5
+ITERATIONS, TOLERANCE, MIN_POSTERIOR = 12, 1e-12, 0.5
 #: Frequent function words of English, German, French and Spanish. Fixed values.
 COMMON = ("the", "of", "and", "to", "in", "is", "that", "for", "was", "with", "der", "die", "und", "den", "von", "zu", "das", "mit", "ist", "sich", "le", "la", "les", "des", "et", "en", "un", "une", "du", "que", "el", "los", "las", "y", "por", "con", "para", "su", "al", "de")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import chat_format, decontaminate, html_extract, line_dedup, near_dedup, packing, quality, secret_scan, toxicity, warc
 from corpusloom.llm._common import table
+from corpusloom.llm.twins import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -49,7 +50,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(table(spark, sf_dir, "documents"))
+    """The posterior is given to six decimals; the verdict is that of the whole number."""
+    return quality.quality_report(table(spark, sf_dir, "documents")).withColumn("quality", F.round("quality", 6))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,45 +69,3 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_decontaminate, op4_html_extract, op5_near_dedup, op6_chat_format, op7_quality, op8_line_dedup, op9_warc, op10_packing)}
-
-_CONTROL = r"\\|<<SYS>>|<</SYS>>|\[/INST\]|\[INST\]|</s>|### |<s>|<\||\|>"
-
-#: For the operators that SQL can express; the others are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {
-    "op6_chat_format": f"""
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(24 + length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}')) + len(regexp_extract_all(text, '{_CONTROL}'))) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
-""",
-    "op8_line_dedup": f"""
-WITH l AS (
-  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-k AS (SELECT *, regexp_replace(line, '^[\\x09-\\x0D\\x20]+|[\\x09-\\x0D\\x20]+\\z', '', 'g') AS t FROM l),
-h AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-b AS (
-  SELECT k.source, t FROM k JOIN h ON k.source IS NOT DISTINCT FROM h.source WHERE t <> ''
-  GROUP BY k.source, t, h.n HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_PAGES} AND count(DISTINCT doc_id) > {line_dedup.RATIO} * h.n)
-SELECT k.doc_id, coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (WHERE b.t IS NULL), '') AS text,
-  count(*) AS n_lines, count(b.t) AS n_dropped
-FROM k LEFT JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.t = b.t GROUP BY k.doc_id
-""",
-    "op9_warc": """
-WITH p AS (
-  SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
-d AS (SELECT *, sha1(html) AS s, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)([^?#]*)([?][^#]+)?.*$', ['host', 'path', 'query']) AS u FROM p),
-m AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS last FROM d),
-k AS (
-  SELECT *, array_to_string(list_reverse(string_split(regexp_replace(u.host, '^www\\.', ''), '.')), ',') || ')' || CASE WHEN u.path = '' THEN '/' ELSE u.path END || u.query AS urlkey FROM m)
-SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, s AS payload_digest,
-  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to,
-  urlkey, row_number() OVER (ORDER BY urlkey, page_id) AS capture_no
-FROM k
-""",
-}
