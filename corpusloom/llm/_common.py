@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch that goes to a Python worker; bounds a worker's memory.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+#: Bytes that a writing task holds of a table before it puts them out.
+ROW_GROUP_BYTES = 32 << 20
 #: Keys that may be broadcast with a few numbers each.
 HOT_KEYS = 50_000
 
@@ -67,9 +69,8 @@ def materialise(df: DataFrame, what: str, folded: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, what)
     if folded:
-        df.coalesce(max(8, 2 * spark.sparkContext.defaultParallelism)).write.parquet(path)
-    else:
-        df.write.parquet(path)
+        df = df.coalesce(max(8, 2 * spark.sparkContext.defaultParallelism))
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
