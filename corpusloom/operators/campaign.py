@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ids import short_id
-from corpusloom.functions.text import chunk_name, language_code, sharded_path, source_scope
-from corpusloom.operators import dedup, planning, release, reports, rights
+from corpusloom.functions.text import chunk_name, job_id, language_code, repo_reference, sharded_path, slug, source_scope
+from corpusloom.operators import dedup, planning, release, reports, rights, state
 from corpusloom.operators.admission import reasons
+from corpusloom.operators.skew import left_counted
 
 
 def manifest_records(manifest: DataFrame, revision: Column, status: Column, redistribute: Column) -> DataFrame:
@@ -106,3 +107,39 @@ def export_samples(accepted: DataFrame, sidecar: DataFrame, known: DataFrame, co
     path = sharded_path(F.col("id"))
     speaker = release.speaker_id(source_scope(F.col("source_uri"), F.col("source_revision")), F.coalesce("speaker_ref", F.lit("")), F.col("key"), F.coalesce(F.col("speaker_ref") != "", F.lit(False)))
     return met.select(path.alias("audio"), "text", path.alias("file_name"), speaker.alias("speaker"), "duration", language_code(F.col("language")).alias("language"), "split", "key", "id", "reused"), blocked
+
+
+def ensure_jobs(entries: DataFrame, existing: DataFrame) -> DataFrame:
+    """(seq, repo_id, requested_revision, pinned_sha, job_id, duplicate, status, error): the job of each entry, in order of seq.
+
+    entries: seq, ref, revision, pinned_sha (null if it can't be resolved); existing: job_id, repo_id,
+    requested_revision, pinned_sha. An entry is a duplicate of a job, or of an entry before it, with the
+    same repository and pin or, where neither has a pin, the same requested revision. An entry without
+    a pin is BLOCKED, one whose reference can't be read has an error and no job.
+    """
+    text = lambda c: F.when(F.trim(c) != "", c)
+    ref = repo_reference(F.col("ref"))
+    rows = entries.select("seq", ref["repo_id"].alias("repo_id"), F.coalesce(text("revision"), ref["revision"]).alias("requested_revision"), text("pinned_sha").alias("pinned_sha"), F.when(F.coalesce(F.trim("ref") == "", F.lit(True)), "NO_REFERENCE").when(ref["repo_id"].isNull(), "BAD_REFERENCE").alias("error"))
+    kind = F.concat(F.lower("repo_id"), F.when(F.col("pinned_sha").isNotNull(), F.concat(F.lit("\x1fp:"), "pinned_sha")).otherwise(F.concat(F.lit("\x1fr:"), "requested_revision")))
+    own = F.when(F.col("pinned_sha").isNotNull(), job_id(F.col("repo_id"), F.col("pinned_sha"))).otherwise(F.concat(slug(F.col("repo_id")), F.lit("-unpinned")))
+    rows = rows.withColumns({"kind": kind, "own": F.when(F.col("error").isNull(), own)})
+    old = existing.withColumn("kind", kind).filter("kind is not null").select("kind", F.lit(None).cast(rows.schema["seq"].dataType).alias("seq"), F.col("job_id").alias("own"))
+    first = rows.filter("kind is not null").select("kind", "seq", "own").unionByName(old).groupBy("kind").agg(F.min(F.struct(F.col("seq").isNotNull().alias("new"), "seq", "own")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    out = left_counted(rows, first, "kind")
+    duplicate = F.coalesce(F.col("f.seq").isNull() & F.col("f").isNotNull() | (F.col("seq") > F.col("f.seq")), F.lit(False))
+    out = out.withColumns({"duplicate": duplicate, "job_id": F.coalesce("f.own", "own"), "status": F.when(F.col("error").isNull(), F.when(F.col("pinned_sha").isNotNull(), "CREATED").otherwise("BLOCKED"))})
+    return out.select("seq", "repo_id", "requested_revision", "pinned_sha", "job_id", "duplicate", "status", "error")
+
+
+def dry_run(jobs: DataFrame, batches: DataFrame) -> DataFrame:
+    """What each batch would do next, and nothing done. batches: job_id, batch_id, status, n_files, complete, release_id, verified."""
+    act = state.next_action(F.col("status"), F.col("complete"), F.col("release_id"), F.col("verified"))
+    return batches.join(jobs.select("job_id", "repo_id", "pinned_sha"), "job_id").select("job_id", "batch_id", "repo_id", "pinned_sha", "status", act.alias("next_action"), "n_files")
+
+
+def upsert_provenance(known: DataFrame, found: DataFrame, key: str = "id", order: str = "recorded") -> DataFrame:
+    """One provenance row per id: that of the last recording, a found one before a known one of the same time."""
+    both = known.withColumn("__new", F.lit(0)).unionByName(found.withColumn("__new", F.lit(1)))
+    rest = [c for c in known.columns if c != key]
+    last = both.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order, "__new")).alias("r"))
+    return last.select(key, *(F.col("r")[c].alias(c) for c in rest))

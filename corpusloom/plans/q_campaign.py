@@ -168,3 +168,41 @@ def wav_evidence(spark, sf_dir):  # noqa: ANN001, ANN201
     full = rows.withColumns({"segment_id": F.concat_ws("_", F.lit("seg"), "doc_id", "segment_no"), "low_bandwidth_suspected": F.lit(False), "speaker_overlap_intervals": F.array().cast("array<double>"), "avail_music": F.lit(True), "avail_quality": F.lit(False), "avail_speaker": F.lit(False), "quality_status": F.lit("UNKNOWN"), "speaker_status": F.lit("UNKNOWN"), "transcript_match_status": F.when(F.col("transcript_trusted"), "OK").otherwise("UNKNOWN"), "rights_status": F.lit("REDISTRIBUTION_APPROVED"), "redistribution_permitted": F.lit(True)} | none)
     p = policy.Policy(required=tuple(c for c in policy.CHECKS if c != "quality_ok"), min_duration_s=0.5)
     return policy.decide(full.drop("measured"), p).select("segment_id", F.when(F.col("early").isNotNull(), "REJECT").otherwise(F.col("decision")).alias("decision"), F.array_join(F.coalesce("early", "reason_codes"), "|").alias("reason_codes"), "speech_ratio", "segmented")
+
+
+ENTRIES = """SELECT doc_id AS seq, CASE doc_id % 6 WHEN 0 THEN concat('org/', source) WHEN 1 THEN concat('Org/', source) WHEN 2 THEN concat('org/', source, '@v1') WHEN 3 THEN concat('org/', source, '@v2') WHEN 4 THEN concat('org/x/', source) END AS ref,
+  CASE WHEN doc_id % 4 = 0 THEN 'v1' END AS revision, CASE WHEN doc_id % 5 < 2 THEN concat('000000000000abc', CAST(n_chars % 3 AS STRING)) END AS pinned_sha FROM {documents}"""
+JOBS = "SELECT 'old-job' AS job_id, 'org/src1' AS repo_id, 'v1' AS requested_revision, CAST(NULL AS STRING) AS pinned_sha UNION ALL SELECT 'old-pin', 'ORG/src2', NULL, '000000000000abc1'"
+
+
+@query(f"""WITH e AS ({ENTRIES}), r AS (SELECT seq, CASE WHEN ref NOT LIKE 'org/x/%' THEN split_part(ref, '@', 1) END AS repo_id, coalesce(revision, nullif(split_part(ref, '@', 2), '')) AS requested_revision, pinned_sha,
+  CASE WHEN ref IS NULL THEN 'NO_REFERENCE' WHEN ref LIKE 'org/x/%' THEN 'BAD_REFERENCE' END AS error FROM e),
+k AS (SELECT *, lower(repo_id) || CASE WHEN pinned_sha IS NOT NULL THEN 'p' || pinned_sha ELSE 'r' || requested_revision END AS kind,
+  CASE WHEN error IS NULL THEN replace(repo_id, '/', '--') || CASE WHEN pinned_sha IS NOT NULL THEN '-' || left(pinned_sha, 12) ELSE '-unpinned' END END AS own FROM r),
+o AS (SELECT job_id, lower(repo_id) || CASE WHEN pinned_sha IS NOT NULL THEN 'p' || pinned_sha ELSE 'r' || requested_revision END AS kind FROM ({JOBS})),
+f AS (SELECT k.*, o.job_id AS old, first_value(own) OVER w AS first, row_number() OVER w AS n FROM k LEFT JOIN o ON o.kind = k.kind WINDOW w AS (PARTITION BY coalesce(k.kind, CAST(seq AS VARCHAR)) ORDER BY seq))
+SELECT seq, CASE WHEN error IS NULL THEN repo_id END AS repo_id, requested_revision, pinned_sha, coalesce(old, first) AS job_id, old IS NOT NULL OR n > 1 AS duplicate, CASE WHEN error IS NULL THEN CASE WHEN pinned_sha IS NOT NULL THEN 'CREATED' ELSE 'BLOCKED' END END AS status, error FROM f""")
+def ensure_jobs(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Documents as entries of a campaign that has two jobs already."""
+    return campaign.ensure_jobs(over(spark, sf_dir, ENTRIES), spark.sql(JOBS))
+
+
+BATCHES = """SELECT concat('job-', source) AS job_id, concat('b-', CAST(doc_id AS STRING)) AS batch_id, CASE doc_id % 7 WHEN 0 THEN 'PLANNED' WHEN 1 THEN 'IN_PROGRESS' WHEN 2 THEN 'BATCH_PROCESSED' WHEN 3 THEN 'RELEASE_READY' WHEN 4 THEN 'DONE' WHEN 5 THEN 'BLOCKED' ELSE 'odd' END AS status,
+  n_chars AS n_files, doc_id % 2 = 0 AS complete, CASE WHEN doc_id % 3 = 0 THEN 'r1' END AS release_id, doc_id % 5 = 0 AS verified FROM {documents}"""
+
+
+@query(f"""SELECT job_id, batch_id, 'org/' || substr(job_id, 5) AS repo_id, sha256(substr(job_id, 5)) AS pinned_sha, status, n_files, CASE status WHEN 'DONE' THEN 'none' WHEN 'PLANNED' THEN 'download' WHEN 'IN_PROGRESS' THEN CASE WHEN complete THEN 'qc' ELSE 'download' END WHEN 'BATCH_PROCESSED' THEN 'gate'
+  WHEN 'RELEASE_READY' THEN CASE WHEN release_id IS NULL THEN 'prepare-release' WHEN verified THEN 'cleanup' ELSE 'publish (awaiting approval)' END WHEN 'BLOCKED' THEN 'blocked' ELSE 'unknown:' || status END AS next_action FROM ({BATCHES})""")
+def dry_run_plan(spark, sf_dir):  # noqa: ANN001, ANN201
+    d = table(spark, sf_dir, "documents").select("source").distinct()
+    jobs = d.select(F.concat(F.lit("job-"), "source").alias("job_id"), F.concat(F.lit("org/"), "source").alias("repo_id"), F.sha2("source", 256).alias("pinned_sha"))
+    return campaign.dry_run(jobs, over(spark, sf_dir, BATCHES))
+
+
+@query("""WITH b AS (SELECT 'clip_' || user_id AS id, event_type AS source_uri, value AS duration, ts AS recorded, event_id % 2 AS new, event_id FROM {events}),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY recorded DESC, new DESC, event_id DESC) AS n FROM b) SELECT id, source_uri, duration FROM r WHERE n = 1""")
+def provenance_upsert(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Events as recordings, those of odd ids being the newly found ones."""
+    e = table(spark, sf_dir, "events")
+    rows = lambda odd: e.filter(F.col("event_id") % 2 == odd).select(F.concat(F.lit("clip_"), "user_id").alias("id"), F.col("event_type").alias("source_uri"), F.col("value").alias("duration"), F.struct("ts", F.lit(odd).alias("n"), "event_id").alias("recorded"))
+    return campaign.upsert_provenance(rows(0), rows(1)).select("id", "source_uri", "duration")
