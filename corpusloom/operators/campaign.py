@@ -117,7 +117,7 @@ def ensure_jobs(entries: DataFrame, existing: DataFrame) -> DataFrame:
     same repository and pin or, where neither has a pin, the same requested revision. An entry without
     a pin is BLOCKED, one whose reference can't be read has an error and no job.
     """
-    text = lambda c: F.when(F.trim(c) != "", c)
+    text = lambda c: F.when(F.trim(c) != "", F.col(c))
     ref = repo_reference(F.col("ref"))
     rows = entries.select("seq", ref["repo_id"].alias("repo_id"), F.coalesce(text("revision"), ref["revision"]).alias("requested_revision"), text("pinned_sha").alias("pinned_sha"), F.when(F.coalesce(F.trim("ref") == "", F.lit(True)), "NO_REFERENCE").when(ref["repo_id"].isNull(), "BAD_REFERENCE").alias("error"))
     kind = F.concat(F.lower("repo_id"), F.when(F.col("pinned_sha").isNotNull(), F.concat(F.lit("\x1fp:"), "pinned_sha")).otherwise(F.concat(F.lit("\x1fr:"), "requested_revision")))
