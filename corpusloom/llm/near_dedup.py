@@ -50,14 +50,14 @@ THRESHOLD = 0.8
 ESTIMATE = 0.6
 #: Shingles of a bucket's members that one task holds, twice, to compare them with each other.
 BLOCK_UNITS = 300_000
-#: Shingles of texts that are signed together; a longer text is signed alone.
+#: Shingles of texts, each as often as it occurs, that are signed together; a longer text is signed alone.
 UNITS = 100_000
 #: Rows up to which a table of ids may be broadcast: 48 bytes each. Rows of one bucket, hub, class or text that meet in a task.
 BROADCAST_ROWS, HOT = 50_000, 2_000
 #: Members that are compared with one copy of their hub's text.
 HUB_MEMBERS = 500
 #: Rows up to which a table of keys and nodes is written by few tasks: some tens of bytes each.
-FOLD_ROWS = 1_000_000
+FOLD_ROWS = 2_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _POWERS = np.ones(1, np.uint64)
@@ -170,7 +170,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 node.append(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16, person=b"text").digest() if text else None)
             sets.append(shingles(sym))
-            size += len(sets[-1][0])
+            size += int(sets[-1][1].sum())  # a region for each time that a shingle occurs
             if size > UNITS or i == len(texts) - 1:
                 for s in dart_signatures(sets, BANDS * ROWS):
                     bands.append(band_keys(s).view(np.int64) if len(s) else [])
@@ -268,49 +268,49 @@ def few(most: int | None) -> bool:
     return most is not None and most <= FOLD_ROWS
 
 
-def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs, buckets): pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket, and all rows (key, node) of buckets of two or more.
+def candidates(reps: DataFrame, most: int) -> tuple[DataFrame, DataFrame, int]:
+    """(pairs, buckets, rows of buckets) of so many representatives: pairs (a, b) of nodes whose signatures agree, b being a's hub in some bucket, and all rows (key, node) of buckets of two or more.
 
     Signatures meet only pairs, and each pair once, however many buckets it shares.
     """
     sigs = reps.select("node", "sig")
     rows = reps.select(F.explode("bands").alias("key"), "node")
-    sizes = C.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
-    buckets, _, small = counted(C.join_counted(rows, sizes, "key", "n", HOT), "buckets")
-    rows = C.materialise(buckets.join(small(buckets.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop"), "popular")
-    hubs = C.materialise(rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).select("key", F.col("h.node").alias("hub"), "n"), "hubs")
-    met, n, small = counted(C.join_counted(rows, hubs, "key", "n", HOT).filter(F.col("node") != F.col("hub")).select("node", "hub").distinct(), "met")
+    sizes = C.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes", few(BANDS * most))
+    buckets, n_rows, small = counted(C.join_counted(rows, sizes, "key", "n", HOT), "buckets", BANDS * most)
+    rows = C.materialise(buckets.join(small(buckets.groupBy("node").agg(F.sum("n").alias("pop"))), "node").select("key", "node", "pop"), "popular", few(n_rows))
+    hubs = C.materialise(rows.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("h"), F.count(F.lit(1)).alias("n")).select("key", F.col("h.node").alias("hub"), "n"), "hubs", few(n_rows))
+    met, n, small = counted(C.join_counted(rows, hubs, "key", "n", HOT).filter(F.col("node") != F.col("hub")).select("node", "hub").distinct(), "met", n_rows)
     pairs = sigs.join(small(met), "node").withColumnRenamed("sig", "node_sig")
     per = met.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
     theirs = C.materialise(sigs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig")).join(small(per), "hub"), "hub_sigs", few(n))
     pairs = C.join_counted(C.materialise(pairs, "met_sigs", few(n)), theirs, "hub", "n", HOT).select("node", F.col("node_sig").alias("sig"), "hub", "hub_sig")
     kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("hub", T.BinaryType()), T.StructField("same", T.DoubleType())])
     pairs = C.materialise(pairs.mapInArrow(_agreeing, kind), "agreeing", few(n))
-    return pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b")), buckets.select("key", "node")
+    return pairs.filter(F.col("same") >= ESTIMATE).select(F.col("node").alias("a"), F.col("hub").alias("b")), buckets.select("key", "node"), n_rows
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b), b being a hub, whose texts are alike. A hub of many members has a salt for each HUB_MEMBERS of them."""
-    hubs = C.materialise(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / HUB_MEMBERS).cast("int")), "hubs")
+def compared(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """Of so many pairs (a, b), b being a hub, those whose texts are alike. A hub of many members has a salt for each HUB_MEMBERS of them."""
+    hubs = C.materialise(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).withColumn("salts", F.ceil(F.col("n") / HUB_MEMBERS).cast("int")), "hubs", few(most))
     salted = C.join_counted(pairs, hubs, "b", "n", HOT).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
     members = salted.select("a", "b", "salt").join(texts.withColumnRenamed("node", "a"), "a")
     every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
     theirs = hubs.join(texts.withColumnRenamed("node", "b"), "b").select(F.lit(None).cast("binary").alias("a"), "b", every.alias("salt"), "text")
     both = theirs.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
-    return C.materialise(both.select("a", "b", "text").mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links")
+    return C.materialise(both.select("a", "b", "text").mapInArrow(_compare, T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])), "links", few(most))
 
 
-def rest(buckets: DataFrame, labels: DataFrame, texts_of) -> DataFrame:  # noqa: ANN001
-    """Links (a, b) of labels between all members of a bucket that the labels do not join yet.
+def rest(buckets: DataFrame, labels: DataFrame, texts_of, most: int) -> DataFrame:  # noqa: ANN001
+    """Of buckets with so many rows, links (a, b) of labels between all members of a bucket that the labels do not join yet.
 
     A bucket whose members have one label is done. In any other each two members of different labels
     are compared exactly, but for those that links found before them have joined. A large bucket is
     dealt into blocks of BLOCK_UNITS shingles by a hash of the node, and each two blocks meet in a
     task's memory; only links, fewer than the members, come out.
     """
-    rows = C.materialise(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    rows = C.materialise(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled", few(most))
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi").select("key", "n")
-    rows, n, small = counted(C.join_counted(rows, C.materialise(mixed, "mixed_keys"), "key", "n", HOT).drop("n"), "mixed")
+    rows, n, small = counted(C.join_counted(rows, C.materialise(mixed, "mixed_keys", few(most)), "key", "n", HOT).drop("n"), "mixed", most)
     kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("units", T.BinaryType())])
     sets = C.materialise(texts_of(rows.select("node").distinct(), n).mapInArrow(_units, kind), "units")
     rows = rows.join(small(sets.select("node", (F.length("units") / 8).alias("w"))), "node")
@@ -333,11 +333,11 @@ def components(links: DataFrame, most: int | None = None) -> DataFrame:
     """
     edges, n, small = counted(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", None if most is None else 2 * most)
     labels = C.materialise(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels", few(n))
-    degrees = None if n <= BROADCAST_ROWS else C.materialise(edges.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
+    degrees = None if n <= BROADCAST_ROWS else C.materialise(edges.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees", few(n))
     while True:
         named = labels.select(F.col("node").alias("b"), "label")
         if degrees is not None:  # a hub has as many edges as its class has members
-            named = C.materialise(named.join(degrees, "b"), "named")
+            named = C.materialise(named.join(degrees, "b"), "named", few(n))
         met = edges.join(F.broadcast(named), "b") if degrees is None else C.join_counted(edges, named, "b", "n", HOT)
         near = met.groupBy("a").agg(F.min("label").alias("l"))
         once = C.materialise(labels.join(small(near.withColumnRenamed("a", "node")), "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("mid")), "once", few(n))
@@ -345,7 +345,7 @@ def components(links: DataFrame, most: int | None = None) -> DataFrame:
         if degrees is None:
             met = once.join(F.broadcast(jump), "mid")
         else:
-            met = C.join_counted(once, C.materialise(jump.join(once.groupBy("mid").agg(F.count(F.lit(1)).alias("n")), "mid"), "jump"), "mid", "n", HOT)
+            met = C.join_counted(once, C.materialise(jump.join(once.groupBy("mid").agg(F.count(F.lit(1)).alias("n")), "mid"), "jump", few(n)), "mid", "n", HOT)
         new = C.materialise(met.select("node", "was", F.least("mid", "far").alias("label")), "labels", few(n))
         labels = new.select("node", "label")
         if new.filter(F.col("was") != F.col("label")).isEmpty():
@@ -373,7 +373,8 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     all_rows = signed(df, id_col, text_col)
     # Of a node's rows one, with its id, stands for all: combined before the shuffle, however many copies there are.
     reps = C.materialise(all_rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "bands", "sig")).alias("r"), F.count(F.lit(1)).alias("n")).select("node", "r.__id", "r.bands", "r.sig", "n"), "reps")
-    found, buckets = candidates(reps.select("node", "bands", "sig"))
+    n_reps = reps.count()
+    found, buckets, n_rows = candidates(reps.select("node", "bands", "sig"), n_reps)
     pairs, n_pairs, _ = counted(found, "pairs")
 
     def texts_of(nodes: DataFrame, most: int) -> DataFrame:
@@ -385,17 +386,17 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return texts.mapInArrow(_named, kind).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
     texts = C.materialise(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs), "texts")
-    first = components(compared(pairs, texts), n_pairs)
-    final = components(rest(buckets, first, texts_of)).select(F.col("node").alias("first"), F.col("label").alias("final"))
+    first = components(compared(pairs, texts, n_pairs), n_pairs)
+    final = components(rest(buckets, first, texts_of, n_rows)).select(F.col("node").alias("first"), F.col("label").alias("final"))
     # Nodes to first classes to final ones: counted on each step, as a class may hold a large share of all texts or rows.
-    nodes = C.materialise(reps.select("node", "__id", "n").join(first.withColumnRenamed("label", "first"), "node", "left").withColumn("first", F.coalesce("first", "node")), "nodes")
+    nodes = C.materialise(reps.select("node", "__id", "n").join(first.withColumnRenamed("label", "first"), "node", "left").withColumn("first", F.coalesce("first", "node")), "nodes", few(n_reps))
     firsts = nodes.groupBy("first").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"))).alias("c"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("nodes"))
-    firsts = C.materialise(firsts.join(final, "first", "left").withColumn("label", F.coalesce("final", "first")).drop("final"), "firsts")
-    found = C.materialise(firsts.groupBy("label").agg(F.min("c").alias("c"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "found")
+    firsts = C.materialise(firsts.join(final, "first", "left").withColumn("label", F.coalesce("final", "first")).drop("final"), "firsts", few(n_reps))
+    found = C.materialise(firsts.groupBy("label").agg(F.min("c").alias("c"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "found", few(n_reps))
     named = C.join_counted(firsts.select("first", "label", "nodes"), found, "label", "n", HOT).select("first", "nodes", F.col("c.id").alias("class_id"), "size")
-    known = C.join_counted(nodes.select("node", "first", "n"), C.materialise(named, "named"), "first", "nodes", HOT).select("node", "n", "class_id", "size")
+    known = C.join_counted(nodes.select("node", "first", "n"), C.materialise(named, "named", few(n_reps)), "first", "nodes", HOT).select("node", "n", "class_id", "size")
     ids = all_rows.select("__id", "__sum", "node")
-    some = C.join_counted(ids.filter("node is not null"), C.materialise(known, "known"), "node", "n", HOT).select("__id", "__sum", "class_id", "size")
+    some = C.join_counted(ids.filter("node is not null"), C.materialise(known, "known", few(n_reps)), "node", "n", HOT).select("__id", "__sum", "class_id", "size")
     none = ids.filter("node is null").select("__id", "__sum", F.col("__id").alias("class_id"), F.lit(1).cast("long").alias("size"))
     cid = F.col("class_id")
     return some.unionByName(none).select(F.col("__id").alias(id_col), "class_id", F.col("size").cast("long").alias("class_size"), F.coalesce(F.col("__id").eqNullSafe(cid), F.lit(False)).alias("kept"), "__sum")
