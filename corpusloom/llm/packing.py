@@ -82,8 +82,8 @@ def cut(n: int, max_len: int = MAX_LEN) -> list[tuple[int, int]]:
     return [(s, (first if first and s == 0 else max_len)) for s in starts]
 
 
-def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, the ids."""
+def _piecing(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, max_len: int, end_id: int, with_ids: bool):  # noqa: ANN202
+    """(texts, the pass that makes pieces of them, its schema): see pieces."""
     C.prepare(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     fields = [T.StructField(id_col, src.schema["__id"].dataType), T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))]
@@ -102,7 +102,13 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
             yield pa.RecordBatch.from_arrays([b["__id"].take(arrays[0]), *arrays[1:]], names=[f.name for f in fields])
 
-    return src.mapInArrow(run, T.StructType(fields))
+    return src, run, T.StructType(fields)
+
+
+def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, the ids."""
+    src, run, schema = _piecing(docs, tokenizer, id_col, text_col, max_len, end_id, with_ids)
+    return src.mapInArrow(run, schema)
 
 
 def patterns(max_len: int, present: np.ndarray) -> np.ndarray:
@@ -264,12 +270,19 @@ def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     Rows are ranked as they are written, by the attempt of a task that wrote them: only the files of
     attempts that finished are read, and neither the order nor the split in which they are read matters.
     """
-    spark = parts.sparkSession
-    C.prepare(spark)
-    kept = [c for c in parts.columns if c not in ("sequence_id", "offset")]
-    src = parts.select(kept)
-    ranks = [T.StructField("__part", T.StringType()), T.StructField("__rank", T.LongType())]
-    parts = C.materialise(src.mapInArrow(_ranking(max_len + 1, kept), T.StructType([*src.schema.fields, *ranks])), "pieces")
+    C.prepare(parts.sparkSession)
+    src = parts.select([c for c in parts.columns if c not in ("sequence_id", "offset")])
+    return _packed(src.mapInArrow(_ranking(max_len + 1, src.columns), _ranked(src.schema)), src.schema, max_len)
+
+
+def _ranked(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("__part", T.StringType()), T.StructField("__rank", T.LongType())])
+
+
+def _packed(ranked: DataFrame, kind: T.StructType, max_len: int) -> DataFrame:
+    """The rows that _ranking made, of this kind before it, with their places."""
+    spark, kept = ranked.sparkSession, kind.names
+    parts = C.materialise(ranked, "pieces")
     counts = C.materialise(parts.groupBy("__part", "length").agg(F.count(F.lit(1)).alias("n")), "counts", folded=True)
     histogram = np.zeros(max_len + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # max_len rows at most
@@ -290,10 +303,12 @@ def pack(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
         before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
         begin = counts.select("__part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
         ranked = parts.join(begin, ["__part", "length"]).withColumn("__rank", F.col("__rank") + F.col("__first")).drop("__first")
-    schema = T.StructType([*src.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*kind.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return ranked.select(*kept, "__part", "__rank").mapInArrow(_placing(shared, kept, starts), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents (see pieces) with sequence_id and offset."""
-    return pack(pieces(docs, tokenizer, id_col, text_col, max_len, end_id, with_ids), max_len)
+    """The pieces of all documents (see pieces) with sequence_id and offset. One Python worker makes a task's pieces and ranks them."""
+    src, run, kind = _piecing(docs, tokenizer, id_col, text_col, max_len, end_id, with_ids)
+    rank = _ranking(max_len + 1, kind.names)
+    return _packed(src.mapInArrow(lambda batches: rank(run(batches)), _ranked(kind)), kind, max_len)
