@@ -1,5 +1,7 @@
+import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 from corpusloom.llm import quality as Q
@@ -69,8 +71,6 @@ def test_clashing_names(spark):
 
 def brute_em(votes, iterations):
     """The same model, vote by vote."""
-    import math
-
     n, k = len(votes), len(votes[0])
     prior, says = 0.8, [(0.98, 0.7)] * k
     for _ in range(iterations):
@@ -85,6 +85,41 @@ def brute_em(votes, iterations):
     return prior, says
 
 
+def brute_votes(text):
+    """The votes of the rules, from what plain Python counts."""
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, chars, symbols, dup, repeats = brute(t)
+    upper = sum(unicodedata.category(c) == "Lu" and ord(c) < 0x590 for c in t)
+    common, stops = sum(x.lower() in Q.COMMON for x in w), sum(x[-1] in ".!?:" for x in w)
+    vote = lambda good, bad: 0 if bad else 1 if good else None
+    of = lambda a, b: a / max(b, 1)
+    sym, du, rep, up, com, dis, per, ban, sto = of(symbols, n), of(dup, len(lines)), of(repeats, n), of(upper, chars), of(common, n), of(len(set(w)), n), of(chars, n), of(t.count("!"), n), of(n, stops)
+    return (
+        vote(sym < 0.02, sym > 0.1), vote(du < 0.1 and len(lines) > 2, du > 0.34), vote(rep < 0.05 and n > 50, rep > 0.2), vote(0 < up < 0.1, up > 0.3), vote(com > 0.08, com < 0.03 and n > 30),
+        vote(dis > 0.4 and n > 30, dis < 0.25 and n < 2000), vote(3.5 < per < 7, per < 2 or per > 9), vote(ban < 0.02, ban > 0.1), vote(sto < 40, sto > 100 and n > 100),
+    )
+
+
+def brute_kept(texts):
+    """Which texts are kept: votes, expectation-maximisation and posterior without Spark."""
+    votes = [brute_votes(t) for t in texts]
+    prior, says = brute_em(votes, Q.ITERATIONS)
+    out = []
+    for t, v in zip(texts, votes):
+        n, *_, repeats = brute(t)
+        z = math.log(prior / (1 - prior)) + sum(0 if x is None else math.log(g / b) if x else math.log((1 - g) / (1 - b)) for x, (g, b) in zip(v, says))
+        out.append(n >= 10 and 100 * repeats <= 20 * n and 1 / (1 + math.exp(-z)) >= 0.5)
+    return out
+
+
+def test_verdicts_equal_brute_force(spark):
+    rows = list(enumerate(texts()))
+    got = {r["doc_id"]: r["kept"] for r in Q.quality_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i] for i, _ in rows] == brute_kept([t for _, t in rows])
+
+
 def test_em_equals_brute_force(spark):
     r = random.Random(3)
     votes = [tuple(r.choice([None, int(r.random() < (0.95 if good else 0.4))]) for _ in range(4)) for good in (r.random() < 0.8 for _ in range(300))]
