@@ -37,4 +37,4 @@ def test_merge_expanded_of_the_whole_inventory(spark):
     want = []
     for (i,) in base.table(spark, SF, "documents").select("doc_id").collect():
         want += [f"p{i}#row-0"] if i % 4 == 0 else [f"p{i}", f"p{i}#row-1"]
-    assert [r["path"] for r in catalog.queries()["merge_expanded_whole"](spark, SF).collect()] == sorted(want)
+    assert [r["path"] for r in catalog.queries()["merge_expanded"](spark, SF).collect()] == sorted(want)
