@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Narrow rows dealt to several tasks per core: what is made of each row takes far longer than to move it."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def over(spark: SparkSession, sf_dir: str, text: str, **more: DataFrame) -> DataFrame:
     """A SQL text that names tables in braces, over the tables of a directory (and others by name)."""
     used = [n for n in (*TABLES, *more) if f"{{{n}}}" in text]

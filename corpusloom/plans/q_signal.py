@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators import admission, dedup, policy, signal
-from corpusloom.plans.base import query, table
+from corpusloom.plans.base import query, spread, table
 
 RATE = 16000
 
@@ -39,7 +39,7 @@ def clip(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
 
 
 def clips(spark, sf_dir):  # noqa: ANN001, ANN201
-    return table(spark, sf_dir, "documents").select("doc_id", "n_chars", clip("doc_id", "n_chars").alias("content"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars")).select("doc_id", "n_chars", clip("doc_id", "n_chars").alias("content"))
 
 
 @query()
