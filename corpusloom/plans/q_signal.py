@@ -31,11 +31,22 @@ def synthetic(kind: str, seconds: float, seed: int, rate: int = RATE) -> np.ndar
     return np.zeros(len(t))
 
 
+KINDS = ("speechlike", "tone", "noise", "silence", "clipped")
+
+
+def made(doc_id: int, n_chars: int) -> bytes:
+    return signal.write_wav(signal.to_pcm16(synthetic(KINDS[doc_id % 5], 0.5 + n_chars % 7 / 2, doc_id))[0], RATE)
+
+
 @F.pandas_udf(T.BinaryType())
 def clip(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    kinds = ("speechlike", "tone", "noise", "silence", "clipped")
     for ids, size in batches:
-        yield pd.Series([signal.write_wav(signal.to_pcm16(synthetic(kinds[i % 5], 0.5 + n % 7 / 2, i))[0], RATE) for i, n in zip(ids, size)])
+        yield pd.Series([made(i, n) for i, n in zip(ids, size)])
+
+
+def sources(spark, sf_dir):  # noqa: ANN001, ANN201
+    """What clips are made of, where they are measured."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
 
 
 def clips(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -69,7 +80,7 @@ def wav_verdict(spark, sf_dir):  # noqa: ANN001, ANN201
 
 @query()
 def wav_render(spark, sf_dir):  # noqa: ANN001, ANN201
-    r = signal.render(clips(spark, sf_dir))
+    r = signal.render(sources(spark, sf_dir), ("doc_id", "n_chars"), load=made)
     return r.select("doc_id", "rendered.sha256", "rendered.n_samples", "rendered.clipped", "rendered.status")
 
 
