@@ -179,5 +179,5 @@ def wav_segments(spark, sf_dir):  # noqa: ANN001, ANN201
 @query(f"""SELECT doc_id, CAST(CASE WHEN doc_id % 17 = 0 THEN 0 ELSE (20 + n_chars % 60) * {HOP} END AS BIGINT) AS n_samples, CAST(0 AS BIGINT) AS clipped, CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'mean' ELSE 'none' END AS downmix, CASE WHEN doc_id % 17 = 0 THEN 'DECODE_FAILED:Error' ELSE 'PASS' END AS status FROM documents""")
 def wav_render_states(spark, sf_dir):  # noqa: ANN001, ANN201
     """Mono 16-bit renderings: their lengths, how they were mixed and whether they read back."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars")).select("doc_id", stepped_clip("doc_id", "n_chars").alias("content"))
-    return signal.render(d).select("doc_id", "rendered.n_samples", "rendered.clipped", "rendered.downmix", "rendered.status")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
+    return signal.render(d, ("doc_id", "n_chars"), load=stepped).select("doc_id", "rendered.n_samples", "rendered.clipped", "rendered.downmix", "rendered.status")

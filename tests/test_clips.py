@@ -22,3 +22,8 @@ def test_wav_render_holds_few_clips(spark):
         wav = q_signal.made(i, sizes[i])  # of one channel: its rendering has the same samples but for the scale
         x = signal.read_wav(wav)[0]
         assert got[i]["sha256"] == hashlib.sha256(signal.write_wav(signal.to_pcm16(x)[0], q_signal.RATE)).hexdigest() and got[i]["n_samples"] == len(x) and got[i]["status"] == "PASS"
+
+
+def test_wav_render_states_holds_few_clips(spark):
+    df = catalog.queries()["wav_render_states"](spark, SF)
+    assert "ArrowEvalPython" not in plan(df) and plan(df).count("BatchEvalPython") == 1
