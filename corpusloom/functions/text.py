@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -147,28 +148,31 @@ def container(content: Column) -> Column:
 
 
 def glob_regex(pattern: str) -> str:
-    """A shell pattern as an anchored regular expression; * crosses slashes."""
+    """A shell pattern as a regular expression of whole texts; * crosses slashes, and in brackets only !, - and the closing one mean anything."""
     out, i = "", 0
     while i < len(pattern):
-        c = pattern[i]
+        c, j = pattern[i], pattern.find("]", i + (3 if pattern[i + 1 : i + 2] == "!" else 2)) if pattern[i] == "[" else -1
         if c == "*":
             out += ".*"
         elif c == "?":
             out += "."
-        elif c == "[" and "]" in pattern[i + 2 :]:
-            j = pattern.index("]", i + 2)
-            body = pattern[i + 1 : j].replace("\\", "\\\\")
-            out += "[" + ("^" + body[1:] if body[0] == "!" else body) + "]"
+        elif j > 0:
+            no = pattern[i + 1] == "!"
+            out += ("[^" if no else "[") + re.sub(r"([\\\[\]^&~|])", r"\\\1", pattern[i + 1 + no : j]) + "]"
             i = j
         else:
             out += "\\" + c if not c.isalnum() and c != "_" else c
         i += 1
-    return f"^(?s:{out})$"
+    return f"^(?s:{out})\\z"
+
+
+def base_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]*)\z", 1)
 
 
 def matches_globs(path: Column, allow: list[str], ignore: list[str]) -> Column:
     """A path or its base name matches an allowed pattern (none: all do) and no ignored one."""
-    base = F.regexp_extract(path, r"([^/]*)$", 1)
+    base = base_name(path)
 
     def any_of(patterns: list[str]) -> Column:
         out = F.lit(False)

@@ -81,9 +81,10 @@ def split_filter(spark, sf_dir):  # noqa: ANN001, ANN201
 
 @query("""SELECT page_id FROM {pages} WHERE (regexp_matches(url, '\\.com/') OR regexp_matches(url, '/[0-9]+$')) AND NOT regexp_matches(url, '/de/') AND NOT regexp_matches(url, '(^|/)[^/]*ref=x$')""")
 def glob_filter(spark, sf_dir):  # noqa: ANN001, ANN201
-    p = table(spark, sf_dir, "pages")
-    numbers = ["*/[0-9]", "*/[0-9][0-9]", "*/[0-9][0-9][0-9]", "*/[0-9][0-9][0-9][0-9]"]
-    return p.filter(text.matches_globs(F.col("url"), ["*.com/*", *numbers], ["*/de/*", "*ref=x"])).select("page_id")
+    """A number of any length is a base name that is not empty and holds nothing but digits."""
+    p, url, ignore = table(spark, sf_dir, "pages"), F.col("url"), ["*/de/*", "*ref=x"]
+    number = text.matches_globs(url, ["*/*"], ignore) & text.matches_globs(text.base_name(url), ["?*"], ["*[!0-9]*"])
+    return p.filter(text.matches_globs(url, ["*.com/*"], ignore) | number).select("page_id")
 
 
 KEYED = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN props WHEN event_id % 3 = 1 THEN '{"k": 1, "v": "x"}' ELSE '{"v": "x", "w": 1, "a": null}' END AS value FROM {events}"""
