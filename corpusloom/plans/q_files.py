@@ -7,7 +7,6 @@ import wave
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,15 +131,12 @@ def stepped(doc_id: int, n_chars: int) -> bytes:
     return out.getvalue()
 
 
-@F.pandas_udf(T.BinaryType())
-def stepped_clip(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for ids, size in batches:
-        yield pd.Series([stepped(int(i), int(n)) for i, n in zip(ids, size)])
+def frames_of(spark, sf_dir):  # noqa: ANN001, ANN201
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
 
 
-def measured(spark, sf_dir):  # noqa: ANN001, ANN201
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars")).select("doc_id", stepped_clip("doc_id", "n_chars").alias("content"))
-    return signal.measure(d)
+def measured(clips):  # noqa: ANN001, ANN201
+    return signal.measure(clips, ("doc_id", "n_chars"), load=stepped)
 
 
 @query(f"""WITH {FRAMES}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY f) - row_number() OVER (PARTITION BY doc_id, x >= 0.997 ORDER BY f) AS g FROM e),
@@ -150,7 +146,7 @@ SELECT d.doc_id, CASE WHEN s.doc_id IS NULL THEN 'DECODE_FAILED:Error' ELSE 'OK'
   CASE WHEN s.doc_id IS NOT NULL THEN CAST(coalesce(most, 0) * {HOP} AS INT) END AS max_clipped_run, noise_floor_db
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN runs ON runs.doc_id = d.doc_id""")
 def wav_statistics(spark, sf_dir):  # noqa: ANN001, ANN201
-    m = measured(spark, sf_dir)
+    m = measured(frames_of(spark, sf_dir))
     c = lambda n, digits=None: (F.col(f"measured.{n}") if digits is None else F.round(f"measured.{n}", digits)).alias(n)
     return m.select("doc_id", c("status"), c("channels"), c("n_samples"), c("rms", 9), c("peak"), c("dc_offset", 9), c("clipping_ratio", 9), c("max_clipped_run"), c("noise_floor_db", 6))
 
@@ -166,18 +162,17 @@ v AS (SELECT doc_id, min(s) AS s, max(t) AS t FROM k GROUP BY doc_id, part HAVIN
 @query(f"WITH {SPEECH} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS n, s AS start, t AS \"end\" FROM v")
 def wav_speech(spark, sf_dir):  # noqa: ANN001, ANN201
     """Energy-gate speech of each clip."""
-    return measured(spark, sf_dir).select("doc_id", F.posexplode("measured.speech").alias("n", "v")).select("doc_id", F.col("n").cast("bigint").alias("n"), "v.start", "v.end")
+    return measured(frames_of(spark, sf_dir)).select("doc_id", F.posexplode("measured.speech").alias("n", "v")).select("doc_id", F.col("n").cast("bigint").alias("n"), "v.start", "v.end")
 
 
 @query(f"""WITH {SPEECH} SELECT doc_id, round(greatest(s - 0.05::DOUBLE, 0), 6) AS start_s, round(t + 0.05::DOUBLE, 6) AS end_s, FALSE AS uncertain FROM v WHERE doc_id % 5 <> 0 AND t + 0.05::DOUBLE - greatest(s - 0.05::DOUBLE, 0) >= 0.4::DOUBLE""")
 def wav_segments(spark, sf_dir):  # noqa: ANN001, ANN201
     """Segments of clips without frames at full scale: speech with its margins."""
-    m = measured(spark, sf_dir).filter("measured.max_clipped_run = 0")
-    return m.select("doc_id", F.explode("measured.segments").alias("s")).select("doc_id", "s.start_s", "s.end_s", "s.uncertain").filter("doc_id % 5 <> 0")
+    m = measured(frames_of(spark, sf_dir).filter("doc_id % 5 <> 0")).filter("measured.max_clipped_run = 0")
+    return m.select("doc_id", F.explode("measured.segments").alias("s")).select("doc_id", "s.start_s", "s.end_s", "s.uncertain")
 
 
 @query(f"""SELECT doc_id, CAST(CASE WHEN doc_id % 17 = 0 THEN 0 ELSE (20 + n_chars % 60) * {HOP} END AS BIGINT) AS n_samples, CAST(0 AS BIGINT) AS clipped, CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'mean' ELSE 'none' END AS downmix, CASE WHEN doc_id % 17 = 0 THEN 'DECODE_FAILED:Error' ELSE 'PASS' END AS status FROM documents""")
 def wav_render_states(spark, sf_dir):  # noqa: ANN001, ANN201
     """Mono 16-bit renderings: their lengths, how they were mixed and whether they read back."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"))
-    return signal.render(d, ("doc_id", "n_chars"), load=stepped).select("doc_id", "rendered.n_samples", "rendered.clipped", "rendered.downmix", "rendered.status")
+    return signal.render(frames_of(spark, sf_dir), ("doc_id", "n_chars"), load=stepped).select("doc_id", "rendered.n_samples", "rendered.clipped", "rendered.downmix", "rendered.status")

@@ -27,3 +27,9 @@ def test_wav_render_holds_few_clips(spark):
 def test_wav_render_states_holds_few_clips(spark):
     df = catalog.queries()["wav_render_states"](spark, SF)
     assert "ArrowEvalPython" not in plan(df) and plan(df).count("BatchEvalPython") == 1
+
+
+def test_wav_segments_measures_once(spark):
+    """Its filters and its generator had each clip measured a second time, before rows were dealt to tasks."""
+    got = plan(catalog.queries()["wav_segments"](spark, SF))
+    assert got.count("EvalPython") == got.count("BatchEvalPython") == 1 and got.index("BatchEvalPython") < got.index("RoundRobinPartitioning")
