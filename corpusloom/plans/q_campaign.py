@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import campaign, dedup, evidence, policy, signal
+from corpusloom.operators import campaign, dedup, evidence, policy
 from corpusloom.plans import q_decisions, q_signal
 from corpusloom.plans.base import over, query, table
 from corpusloom.plans.q_reports import split_case
@@ -163,7 +163,7 @@ def segment_slices(spark, sf_dir):  # noqa: ANN001, ANN201
 @query()
 def wav_evidence(spark, sf_dir):  # noqa: ANN001, ANN201
     """From bytes to decisions: one Arrow pass measures, the rest are expressions over exploded segments."""
-    rows = evidence.assemble(signal.measure(q_signal.clips(spark, sf_dir)), min_duration=0.5)
+    rows = evidence.assemble(q_signal.measured(spark, sf_dir), min_duration=0.5)
     none = {c: F.lit(None).cast("double") for c in ("sig", "bak", "ovrl")}
     full = rows.withColumns({"segment_id": F.concat_ws("_", F.lit("seg"), "doc_id", "segment_no"), "low_bandwidth_suspected": F.lit(False), "speaker_overlap_intervals": F.array().cast("array<double>"), "avail_music": F.lit(True), "avail_quality": F.lit(False), "avail_speaker": F.lit(False), "quality_status": F.lit("UNKNOWN"), "speaker_status": F.lit("UNKNOWN"), "transcript_match_status": F.when(F.col("transcript_trusted"), "OK").otherwise("UNKNOWN"), "rights_status": F.lit("REDISTRIBUTION_APPROVED"), "redistribution_permitted": F.lit(True)} | none)
     p = policy.Policy(required=tuple(c for c in policy.CHECKS if c != "quality_ok"), min_duration_s=0.5)

@@ -33,3 +33,8 @@ def test_wav_segments_measures_once(spark):
     """Its filters and its generator had each clip measured a second time, before rows were dealt to tasks."""
     got = plan(catalog.queries()["wav_segments"](spark, SF))
     assert got.count("EvalPython") == got.count("BatchEvalPython") == 1 and got.index("BatchEvalPython") < got.index("RoundRobinPartitioning")
+
+
+def test_segment_plan_measures_once(spark):
+    got = plan(catalog.queries()["segment_plan"](spark, SF))
+    assert got.count("EvalPython") == got.count("BatchEvalPython") == 1 and got.index("BatchEvalPython") < got.index("RoundRobinPartitioning")
