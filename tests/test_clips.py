@@ -2,6 +2,9 @@
 
 import hashlib
 
+import numpy as np
+import pytest
+
 from corpusloom.operators import signal
 from corpusloom.plans import base, catalog, q_signal
 from tests.test_oracle import SF, pytestmark  # noqa: F401
@@ -38,3 +41,30 @@ def test_wav_segments_measures_once(spark):
 def test_segment_plan_measures_once(spark):
     got = plan(catalog.queries()["segment_plan"](spark, SF))
     assert got.count("EvalPython") == got.count("BatchEvalPython") == 1 and got.index("BatchEvalPython") < got.index("RoundRobinPartitioning")
+
+
+def test_spectra_of_shared_frames(monkeypatch):
+    """A frame that the clip and its first window share is transformed once, and few are held together."""
+    blocks, rfft = [], np.fft.rfft
+    monkeypatch.setattr(np.fft, "rfft", lambda x, **k: (blocks.append(x.shape), rfft(x, **k))[1])
+    signal.measure_one(q_signal.made(2, 1))  # a second of noise
+    n, frames = 16000, {s: sum(a for a, b in blocks if b == s) for s in (1024, 4096)}
+    assert frames == {s: 1 + (n - s) // (s // 2) for s in (1024, 4096)}
+    signal.measure_one(signal.write_wav(np.arange(60 * n) % 99, n))
+    assert max(a * b for a, b in blocks) <= signal.TOGETHER
+
+
+@pytest.mark.parametrize("n", [256, 1023, 1024, 1025, 5000, 40001])
+@pytest.mark.parametrize("head", [0, 300, 1024, 4000])
+def test_density_frame_by_frame(n, head):
+    x, size, head = np.random.default_rng(n).standard_normal(n) + 3, min(1024, n), min(head, n)
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
+
+    def plain(x):
+        parts = [x[k : k + size] for k in range(0, len(x) - size + 1, size - size // 2)]
+        p = np.mean([np.abs(np.fft.rfft((a - a.mean()) * window)) ** 2 for a in parts], 0) / (8000 * (window**2).sum())
+        p[1 : None if size % 2 else -1] *= 2
+        return p
+
+    _, p, begun = signal.psd(x, 8000, 1024, head)
+    assert np.allclose(p, plain(x), rtol=1e-9) and np.allclose(begun, plain(x[:head]) if size <= head else 0, rtol=1e-9)
