@@ -96,5 +96,5 @@ def wav_render(spark, sf_dir):  # noqa: ANN001, ANN201
 @query()
 def wav_fingerprints(spark, sf_dir):  # noqa: ANN001, ANN201
     """Fingerprints and their bucket keys, which near-duplicate groups are found by."""
-    m = measured(spark, sf_dir).select("doc_id", F.col("measured.fingerprint").alias("fp"))
+    m = signal.fingerprints(sources(spark, sf_dir), ("doc_id", "n_chars"), "fp", load=made)
     return m.select("doc_id", F.size("fp").alias("n_bins"), F.array_join(dedup.sign_keys(F.col("fp"), dedup.hyperplanes(32)).cast("array<string>"), ",").alias("keys"))

@@ -68,3 +68,14 @@ def test_density_frame_by_frame(n, head):
 
     _, p, begun = signal.psd(x, 8000, 1024, head)
     assert np.allclose(p, plain(x), rtol=1e-9) and np.allclose(begun, plain(x[:head]) if size <= head else 0, rtol=1e-9)
+
+
+def test_wav_fingerprints_without_spectra(spark, monkeypatch):
+    """The query's keys are those of the measured fingerprints, and nothing else is measured for them."""
+    sizes = base.table(spark, SF, "documents").select("doc_id", "n_chars").limit(40)
+    whole = {r["doc_id"]: r["fp"] for r in signal.measure(sizes, ("doc_id", "n_chars"), load=q_signal.made).select("doc_id", "measured.fingerprint").toDF("doc_id", "fp").collect()}
+    assert {r["doc_id"]: r["fp"] for r in signal.fingerprints(sizes, ("doc_id", "n_chars"), "fp", load=q_signal.made).collect()} == whole
+    monkeypatch.setattr(signal, "measure", None)
+    assert catalog.queries()["wav_fingerprints"](spark, SF).columns == ["doc_id", "n_bins", "keys"]
+    junk = spark.createDataFrame([(1, bytearray(b"junk")), (2, None)], "id int, content binary")
+    assert [tuple(r) for r in signal.fingerprints(junk).orderBy("id").collect()] == [(1, None), (2, None)]
