@@ -79,3 +79,25 @@ def test_wav_fingerprints_without_spectra(spark, monkeypatch):
     assert catalog.queries()["wav_fingerprints"](spark, SF).columns == ["doc_id", "n_bins", "keys"]
     junk = spark.createDataFrame([(1, bytearray(b"junk")), (2, None)], "id int, content binary")
     assert [tuple(r) for r in signal.fingerprints(junk).orderBy("id").collect()] == [(1, None), (2, None)]
+
+
+def test_copies_are_measured_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(signal, "REMEMBERED", 2)
+    run = signal.once(lambda c: (calls.append(c), len(c or b""))[1])
+    assert [run(c) for c in (b"a", b"bb", b"a", b"ccc", b"a", b"bb", None, None)] == [1, 2, 1, 3, 1, 2, 0, 0]
+    assert calls == [b"a", b"bb", b"ccc", b"bb", None, None]  # the one that came last of all is forgotten first
+    long = bytes(signal.SHORT + 1)
+    assert run(long) == run(long) and calls[-2:] == [long, long]
+    seen = spark.sparkContext.accumulator(0)
+    sizes = base.table(spark, SF, "documents").select("doc_id", "n_chars").coalesce(1)
+
+    def load(i, n):
+        seen.add(1)
+        return q_signal.made(i, n)
+
+    got = {r["doc_id"]: r["measured"] for r in signal.measure(sizes, ("doc_id", "n_chars"), load=load).collect()}
+    assert seen.value == len(got) == sizes.count()
+    for i, n in sizes.limit(60).collect():
+        want = signal.measure_one(q_signal.made(i, n))
+        assert got[i]["rms"] == want["rms"] and [e.asDict() for e in got[i]["noise_events"]] == want["noise_events"]
